@@ -53,6 +53,16 @@ def keyed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
     return d.select("doc_id", text.alias("text"), F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("doc"), F.xxhash64(text).alias("th"))
 
 
+def with_key(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"):
+    """docs with its columns renamed c0, c1, ... plus doc and th, and a function that gives a result its own columns back."""
+    names = docs.columns
+    flat = docs.toDF(*[f"c{i}" for i in range(len(names))])
+    at = {k: f"c{names.index(k)}" for k in (id_col, text_col)}
+    text = F.coalesce(F.col(at[text_col]).cast("string"), F.lit(""))
+    wide = flat.withColumns({"doc": F.coalesce(F.col(at[id_col]).cast("long"), F.lit(NO_ID)), "th": F.xxhash64(text)})
+    return wide, lambda out: out.select(*[f"c{i}" for i in range(len(names))]).toDF(*names)
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The shared folder of spark.checkpoint.dir; a folder of our own only where none is set, as in tests."""
     given = spark.conf.get("spark.checkpoint.dir", None)

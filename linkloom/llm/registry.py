@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from linkloom.llm import line_dedup
+from linkloom.llm import chunk_dedup, line_dedup, simhash_dedup, suffix_dedup
 
-_MODULES = (line_dedup,)
+_MODULES = (line_dedup, chunk_dedup, suffix_dedup, simhash_dedup)
 
 
 def queries() -> dict:
