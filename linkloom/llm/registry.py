@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from linkloom.llm import chunk_dedup, line_dedup, simhash_dedup, suffix_dedup
+from linkloom.llm import chunk_dedup, decontaminate, line_dedup, mixing, secrets, simhash_dedup, suffix_dedup, voronoi_knn
 
-_MODULES = (line_dedup, chunk_dedup, suffix_dedup, simhash_dedup)
+_MODULES = (decontaminate, line_dedup, chunk_dedup, secrets, mixing, suffix_dedup, simhash_dedup, voronoi_knn)
 
 
 def queries() -> dict:
