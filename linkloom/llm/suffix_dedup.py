@@ -319,9 +319,12 @@ def merged(s: np.ndarray, e: np.ndarray, n: int) -> list[tuple[int, int]]:
 def dedup_suffixes(docs: DataFrame, hot: int = HOT, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, kept (bytes), n_bytes, n_removed, spans (maximal removed runs: byte start and end)."""
     d = C.keyed(docs, id_col, text_col)
-    texts = d.repartition(C.partitions(d.sparkSession), "doc", "th")  # dealt once, used for contexts and for removal
+    # dealt once, used for contexts and for removal: both read the same columns, so that the exchange is reused
+    texts = d.select("doc", "th", "text").repartition(C.partitions(d.sparkSession), "doc", "th")
     by_doc = covered_spans(d, texts, hot).groupBy("doc", "th").agg(F.collect_list("s").alias("s"), F.collect_list("e").alias("e"))
-    both = texts.join(by_doc, ["doc", "th"], "left").select("doc_id", "text", "s", "e")
+    kind = dict(d.dtypes)["doc_id"]
+    doc_id = F.when(F.col("doc") != C.NO_ID, F.col("doc")).cast(kind).alias("doc_id")
+    both = texts.join(by_doc, ["doc", "th"], "left").select(doc_id, "text", "s", "e")
     names = ["doc_id", "kept", "n_bytes", "n_removed", "spans"]
 
     def run(batches):
@@ -342,7 +345,7 @@ def dedup_suffixes(docs: DataFrame, hot: int = HOT, id_col: str = "doc_id", text
                 span = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
                 yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(kept, pa.binary()), pa.array(n, pa.int64()), pa.array(gone, pa.int64()), pa.array(spans, span)], names)
 
-    return both.mapInArrow(run, f"doc_id {dict(d.dtypes)['doc_id']}, kept binary, n_bytes long, n_removed long, spans array<struct<start: long, end: long>>")
+    return both.mapInArrow(run, f"doc_id {kind}, kept binary, n_bytes long, n_removed long, spans array<struct<start: long, end: long>>")
 
 
 def op7_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
