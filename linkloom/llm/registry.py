@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from linkloom.llm import chunk_dedup, decontaminate, line_dedup, mixing, secrets, simhash_dedup, suffix_dedup, voronoi_knn
+from linkloom.llm import chunk_dedup, decontaminate, language_id, line_dedup, mixing, quality, secrets, simhash_dedup, suffix_dedup, voronoi_knn
 
-_MODULES = (decontaminate, line_dedup, chunk_dedup, secrets, mixing, suffix_dedup, simhash_dedup, voronoi_knn)
+_MODULES = (decontaminate, line_dedup, chunk_dedup, secrets, mixing, language_id, suffix_dedup, simhash_dedup, quality, voronoi_knn)
 
 
 def queries() -> dict:
