@@ -179,6 +179,35 @@ def dedup_lines(docs: DataFrame, min_docs: int = 10, id_col: str = "doc_id", tex
     return both.mapInArrow(run, f"doc_id {kind}, text string, n_lines long, n_dropped long, keep_bitmap binary")
 
 
+def drop_lines(docs: DataFrame, min_docs: int = 10, text_col: str = "text", chars_col: str = "n_chars") -> DataFrame:
+    """docs without the shared lines, all other columns as they were; n_chars, where there is one, is counted anew for texts
+    that lose lines.  Null texts stay null."""
+    bits = keep_bitmaps(C.keyed(docs), min_docs)
+    wide, back = C.with_key(docs)
+    names = docs.columns
+    text = f"c{names.index(text_col)}"
+    both = wide.join(bits, ["doc", "th"], "left").select(*[f"c{i}" for i in range(len(names))], "drop")
+
+    def run(batches):
+        for b in batches:
+            for i in range(0, b.num_rows, 1024):
+                part = b.slice(i, 1024)
+                at = part.schema.get_field_index(text)
+                out = []
+                for t, drop in zip(part.column(at).to_pylist(), part.column("drop").to_pylist(), strict=True):
+                    if drop and t is not None:
+                        gone = set(np.flatnonzero(np.unpackbits(np.frombuffer(zlib.decompress(drop), np.uint8))).tolist())
+                        t = "\n".join([x for j, x in enumerate(t.split("\n")) if j not in gone])
+                    out.append(t)
+                yield part.set_column(at, part.schema.field(at), pa.array(out, part.schema.field(at).type))
+
+    out = both.mapInArrow(run, both.schema)
+    if chars_col in names:
+        c = f"c{names.index(chars_col)}"
+        out = out.withColumn(c, F.when(F.col("drop").isNull(), F.col(c)).otherwise(F.length(text)).cast(dict(wide.dtypes)[c]))
+    return back(out)
+
+
 def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Contract: keys of one code point or more, found in 10 documents or more, lose all their lines."""
     out = dedup_lines(C.table(spark, sf_dir, "documents"), min_docs=10)

@@ -16,6 +16,8 @@ doc_id of the component, null if it has none.  Other columns are ignored; repeat
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 import pyarrow as pa
 import xxhash
@@ -79,24 +81,43 @@ def keys_of(prints: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return np.concatenate(rows), np.concatenate(keys)
 
 
-def fingerprint(text: bytes, words: int) -> int:
+def majority(hashes: np.ndarray) -> int:
+    """Bit i is set if it is set in over half of the hashes.  Counts stay in bytes, eight to a word, for 255 rows at a time."""
+    counts = np.zeros(64, np.int64)
+    for i in range(0, len(hashes), 255 * 256):
+        part = hashes[i : i + 255 * 256]
+        lanes = np.unpackbits(part.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").view(np.uint64)
+        sums = np.add.reduceat(lanes, np.arange(0, len(part), 255), axis=0)
+        counts += sums.view(np.uint8).reshape(-1, 64).sum(axis=0, dtype=np.int64)
+    return int(np.packbits(2 * counts > len(hashes), bitorder="little").view("<u8")[0])
+
+
+def remixed(hashes: np.ndarray, seed: int) -> np.ndarray:
+    """Other hashes of the same things."""
+    b = (hashes ^ np.uint64(seed)) * np.uint64(0x9FB21C651E98DF25)
+    b ^= b >> np.uint64(29)
+    b *= np.uint64(0xBF58476D1CE4E5B9)
+    return b ^ (b >> np.uint64(32))
+
+
+def shingle_hashes(text: bytes, words: int) -> np.ndarray:
+    """XXH64 (seed 42) of each shingle, repeats included; of the whole sequence if it has fewer words; none for no words."""
     """Bit i is set if it is set in over half of the XXH64 (seed 42) of the shingles, repeats included."""
     w = text.lower().split()  # bytes: ASCII white space, A-Z only
     if not w:
-        return 0
+        return np.zeros(0, np.uint64)
     joined = b" ".join(w)
     h = xxhash.xxh64_intdigest
     if len(w) <= words:
-        a = np.array([h(joined, 42)], np.uint64)
-    else:
-        ends = np.cumsum(np.fromiter(map(len, w), np.int64, len(w)) + 1) - 1
-        starts = np.r_[0, ends[:-1] + 1]
-        a = np.array([h(joined[s:e], 42) for s, e in zip(starts.tolist(), ends[words - 1 :].tolist(), strict=False)], np.uint64)
-    counts = np.zeros(64, np.int64)
-    for i in range(0, len(a), 1 << 16):
-        part = a[i : i + (1 << 16)]
-        counts += np.unpackbits(part.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
-    return int(np.packbits(2 * counts > len(a), bitorder="little").view("<u8")[0])
+        return np.array([h(joined, 42)], np.uint64)
+    ends = np.cumsum(np.fromiter(map(len, w), np.int64, len(w)) + 1) - 1
+    starts = np.r_[0, ends[:-1] + 1]
+    return np.array([h(joined[s:e], 42) for s, e in zip(starts.tolist(), ends[words - 1 :].tolist(), strict=False)], np.uint64)
+
+
+def fingerprint(text: bytes, words: int) -> int:
+    """The majority of the shingles' hashes; zero for no words."""
+    return majority(shingle_hashes(text, words))
 
 
 def word_prints(text: bytes, seeds: tuple[int, ...]) -> list[int]:
@@ -106,15 +127,7 @@ def word_prints(text: bytes, seeds: tuple[int, ...]) -> list[int]:
     if not w:
         return [0] * len(seeds)
     a = np.fromiter(map(xxhash.xxh64_intdigest, w), np.uint64, len(w))
-    out = []
-    for s in seeds:
-        b = (a ^ np.uint64(s)) * np.uint64(0x9FB21C651E98DF25)
-        b ^= b >> np.uint64(29)
-        b *= np.uint64(0xBF58476D1CE4E5B9)
-        b ^= b >> np.uint64(32)
-        counts = np.unpackbits(b.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
-        out.append(int(np.packbits(2 * counts > len(a), bitorder="little").view("<u8")[0]))
-    return out
+    return [majority(remixed(a, s)) for s in seeds]
 
 
 def forest(prints: np.ndarray, near: int, checks: np.ndarray | None = None, near_check: int = 64) -> list[tuple[int, int]]:
@@ -150,8 +163,10 @@ def _search(prints, near, checks, near_check):
     return out
 
 
-def _links(near: int, near_check: int):
-    """Over partitions sorted by key: (a, b) ids of linked fingerprints that share a key."""
+def _links(near: int, checks_near: tuple[int, ...]):
+    """Over partitions sorted by key: (a, b) ids of linked fingerprints that share a key: all pairs of a small bucket, of a large
+    one a spanning forest for each bound of the check."""
+    near_check = max(checks_near)
     names = ["a", "b"]
 
     def pairs(key, ids, prints, checks):
@@ -171,8 +186,9 @@ def _links(near: int, near_check: int):
         for s, n in zip(cut.tolist(), sizes.tolist(), strict=True):
             if n > SMALL:
                 own = slice(s, s + n)
-                e = np.array(forest(prints[own], near, checks[own], near_check), np.int64).reshape(-1, 2) + s
-                found.append(np.stack([ids[e[:, 0]], ids[e[:, 1]]], 1))
+                for bound in checks_near:
+                    e = np.array(forest(prints[own], near, checks[own], bound), np.int64).reshape(-1, 2) + s
+                    found.append(np.stack([ids[e[:, 0]], ids[e[:, 1]]], 1))
         got = np.concatenate(found) if found else np.zeros((0, 2), np.int64)
         return np.unique(np.sort(got[got[:, 0] != got[:, 1]], axis=1), axis=0)
 
@@ -197,9 +213,9 @@ def _links(near: int, near_check: int):
     return run
 
 
-def linked(nodes: DataFrame, prints: list[str], near: int = 4, near_check: int = 64) -> DataFrame:
+def linked(nodes: DataFrame, prints: list[str], near: int = 4, checks_near: tuple[int, ...] = (64,)) -> DataFrame:
     """nodes: id, the fingerprint columns, check -> edges (a, b) that join every pair whose print differs in at most `near` bits
-    in one of the columns and whose check differs in at most `near_check`."""
+    in one of the columns and whose check differs in at most the largest of `checks_near`."""
     n = C.partitions(nodes.sparkSession)
     names = ["key", "id", "print", "check"]
 
@@ -216,7 +232,7 @@ def linked(nodes: DataFrame, prints: list[str], near: int = 4, near_check: int =
 
     keys = nodes.mapInArrow(run, "key long, id long, print long, check long")
     dealt = keys.repartition(n, "key").sortWithinPartitions("key", "id")
-    return dealt.mapInArrow(_links(near, near_check), "a long, b long")
+    return dealt.mapInArrow(_links(near, checks_near), "a long, b long")
 
 
 def fingerprints(docs: DataFrame, words: int = 4, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -249,33 +265,44 @@ def near_duplicates(docs: DataFrame, words: int = 4, near: int = 4, id_col: str
 SEEDS = (0x243F6A8885A308D3, 0x13198A2E03707344, 0xA4093822299F31D0, 0x082EFA98EC4E6C89)
 
 
-def similar_documents(docs: DataFrame, words: int = 5, similarity: float = 0.8, near: int = 4, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def bits_apart(jaccard: float, bits: int) -> int:
+    """How many of so many SimHash bits differ, on average, at that Jaccard similarity of equally long texts."""
+    return int(bits * math.acos(2 * jaccard / (1 + jaccard)) / math.pi)
+
+
+def similar_documents(docs: DataFrame, words: int = 5, similarity: float = 0.8, margin: float = 0.03, near: int = 4, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc, th, root: near-duplicate classes by five-word shingles.
 
-    Candidates come from Golay keys of four SimHashes of the word set, which small edits move little; a link also needs a
-    SimHash similarity (1 - differing bits / 64) of `similarity` or more over the shingles.  Texts of under 8 words link only if
-    their shingle fingerprints are equal, as so few words say nothing about likeness.
+    Candidates come from Golay keys of four SimHashes of the word set, which small edits move little.  They are verified by a
+    256-bit SimHash of the shingles, an estimate of their Jaccard similarity: it must reach `similarity` less `margin`, the
+    estimate's error.  Texts of under 8 words link only if their shingle fingerprints are equal, as so few words say nothing about
+    likeness.
     """
     d = C.keyed(docs, id_col, text_col).select("doc", "th", "text")
-    names = ["doc", "th", "short", "p0", "p1", "p2", "p3", "check"]
+    prints, checks = ["p0", "p1", "p2", "p3"], ["check", "c1", "c2", "c3"]
+    cols = [*prints, *checks]
 
     def run(batches):
         for b in batches:
             data, off = C.text_bytes(b.column("text"))
-            prints, short = np.zeros((5, b.num_rows), np.uint64), np.zeros(b.num_rows, bool)
+            out, short = np.zeros((8, b.num_rows), np.uint64), np.zeros(b.num_rows, bool)
             for i in range(b.num_rows):
                 raw = data[off[i] : off[i + 1]].tobytes()
-                fp = fingerprint(raw, words)
+                a = shingle_hashes(raw, words)
+                wide = [majority(a), *[majority(remixed(a, s)) for s in SEEDS[:3]]]
                 short[i] = len(raw.split(None, 8)) < 8
-                prints[:, i] = [*([fp] * 4 if short[i] else word_prints(raw, SEEDS)), fp]
-            yield pa.RecordBatch.from_arrays([b.column("doc"), b.column("th"), pa.array(short), *map(pa.array, prints.view(np.int64))], names)
-
-    fps = C.stored(d.mapInArrow(run, "doc long, th long, short boolean, p0 long, p1 long, p2 long, p3 long, check long"), "prints")
-    cols = ["p0", "p1", "p2", "p3", "check"]
-    keys = fps.select(F.xxhash64("short", *cols).alias("id"), "short", *cols, "doc", "th")
-    nodes = keys.groupBy("id").agg(*[F.first(c).alias(c) for c in ("short", *cols)])
-    edges = linked(nodes.where("NOT short"), cols[:4], near, int(64 * (1 - similarity) + 1e-9))
-    roots = components(edges)
+                out[:, i] = [*(wide[:1] * 4 if short[i] else word_prints(raw, SEEDS)), *wide]
+            yield pa.RecordBatch.from_arrays([b.column("doc"), b.column("th"), pa.array(short), *map(pa.array, out.view(np.int64))], ["doc", "th", "short", *cols])
+
+    fps = C.stored(d.mapInArrow(run, "doc long, th long, short boolean, " + ", ".join(f"{c} long" for c in cols)), "prints")
+    keys = fps.withColumn("id", F.xxhash64("short", *cols))
+    nodes = C.stored(keys.groupBy("id").agg(*[F.first(c).alias(c) for c in ("short", *cols)]), "nodes")
+    apart = bits_apart(similarity - margin, 256)
+    edges = linked(nodes.where("NOT short").select("id", *prints, "check"), prints, near, (apart // 4 - 2, apart // 4 + 4)).distinct()
+    one, two = (nodes.select(F.col("id").alias(x), F.array(*checks).alias(f"{x}s")) for x in "ab")
+    both = edges.join(one, "a").join(two, "b")
+    differ = F.aggregate(F.zip_with("as", "bs", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda s, x: s + x)
+    roots = components(both.where(differ <= apart).select("a", "b"))
     of = nodes.select("id").join(roots.withColumnRenamed("node", "id"), "id", "left").select("id", F.coalesce("root", "id").alias("root"))
     return keys.select("id", "doc", "th").join(of, "id").select("doc", "th", "root")
 
