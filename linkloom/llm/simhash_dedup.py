@@ -163,9 +163,28 @@ def _search(prints, near, checks, near_check):
     return out
 
 
+def least_forest(edges: np.ndarray, weight: np.ndarray) -> np.ndarray:
+    """The edges of a spanning forest of least weight (Kruskal): at any bound of the weight it joins what all edges join."""
+    ids, flat = np.unique(edges, return_inverse=True)
+    root, flat = list(range(len(ids))), flat.reshape(-1, 2)[np.argsort(weight, kind="stable")].tolist()
+    kept = []
+    for a, b in flat:
+        x, y = a, b
+        while root[x] != x:
+            root[x] = root[root[x]]
+            x = root[x]
+        while root[y] != y:
+            root[y] = root[root[y]]
+            y = root[y]
+        if x != y:
+            root[y] = x
+            kept.append((a, b))
+    return ids[np.array(kept, np.int64).reshape(-1, 2)]
+
+
 def _links(near: int, checks_near: tuple[int, ...]):
-    """Over partitions sorted by key: (a, b) ids of linked fingerprints that share a key: all pairs of a small bucket, of a large
-    one a spanning forest for each bound of the check."""
+    """Over partitions sorted by key: (a, b) ids of linked fingerprints that share a key.  A small bucket gives its pairs, a large
+    one a spanning forest for each bound of the check; what stays of a batch of buckets is its spanning forest of least check."""
     near_check = max(checks_near)
     names = ["a", "b"]
 
@@ -182,15 +201,14 @@ def _links(near: int, checks_near: tuple[int, ...]):
             if not len(at):
                 break
             at = at[(np.bitwise_count(prints[at] ^ prints[at + d]) <= near) & (np.bitwise_count(checks[at] ^ checks[at + d]) <= near_check)]
-            found.append(np.stack([ids[at], ids[at + d]], 1))
+            found.append(np.stack([at, at + d], 1))
         for s, n in zip(cut.tolist(), sizes.tolist(), strict=True):
             if n > SMALL:
                 own = slice(s, s + n)
                 for bound in checks_near:
-                    e = np.array(forest(prints[own], near, checks[own], bound), np.int64).reshape(-1, 2) + s
-                    found.append(np.stack([ids[e[:, 0]], ids[e[:, 1]]], 1))
-        got = np.concatenate(found) if found else np.zeros((0, 2), np.int64)
-        return np.unique(np.sort(got[got[:, 0] != got[:, 1]], axis=1), axis=0)
+                    found.append(np.array(forest(prints[own], near, checks[own], bound), np.int64).reshape(-1, 2) + s)
+        at = np.concatenate(found) if found else np.zeros((0, 2), np.int64)
+        return least_forest(ids[at], np.bitwise_count(checks[at[:, 0]] ^ checks[at[:, 1]]))
 
     def run(batches):
         held: list[list[np.ndarray]] = []
