@@ -97,10 +97,16 @@ def fit(docs: DataFrame, train: Column, id_col: str, text_col: str, lang_col: st
     """Fitted on the `per_lang` documents of each language with the least hash of the id; only their features reach the driver."""
     d = C.pick(docs, doc_id=id_col, text=text_col, lang=lang_col)
     able = d.where(train & F.col("lang").isNotNull() & F.col("text").isNotNull())
-    first = Window.partitionBy("lang").orderBy("h", "doc_id")
-    ids = able.select("doc_id", "lang", F.xxhash64(F.col("doc_id").cast("string")).alias("h")).withColumn("r", F.row_number().over(first)).where(F.col("r") <= per_lang)
-    langs = [r["lang"] for r in ids.groupBy("lang").count().orderBy(F.col("count").desc(), "lang").limit(MAX_LANGS).collect()]
-    few = C.stored(ids.where(F.col("lang").isin(langs)).select("doc_id", "lang"), "sample") if langs else None
+    size = {r["lang"]: r["n"] for r in able.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.col("n").desc(), "lang").limit(MAX_LANGS).collect()}
+    langs = list(size)
+    # a bound of the hash leaves about three times the rows wanted of each language, so no task ranks many
+    part = F.lit(0.0)
+    for lang, n in size.items():
+        part = F.when(F.col("lang") == lang, min(1.0, (3.0 * per_lang + 100) / n)).otherwise(part)
+    ids = able.select("doc_id", "lang", F.xxhash64(F.col("doc_id").cast("string")).alias("h")).where(F.pmod("h", F.lit(1 << 20)) < part * (1 << 20))
+    first = Window.partitionBy("lang").orderBy(F.pmod("h", F.lit(1 << 20)), "h", "doc_id")
+    ids = ids.withColumn("r", F.row_number().over(first)).where(F.col("r") <= per_lang)
+    few = C.stored(ids.select("doc_id", "lang"), "sample") if langs else None
     if few is None:
         return None
 
