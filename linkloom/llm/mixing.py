@@ -36,7 +36,7 @@ def targets(sizes: DataFrame, weights: tuple[int, ...] = (1, 2, 3), max_epochs:
     return s.select("source", "source_size", F.least(F.col("cap").cast("double"), F.col("w") * F.max("level").over(every)).alias("target"))
 
 
-def mix(docs: DataFrame, weights: tuple[int, ...] = (1, 2, 3), max_epochs: int = 3, per_range: int = 50_000, seed: int = 0, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
+def mix(docs: DataFrame, weights: tuple[int, ...] = (1, 2, 3), max_epochs: int = 3, per_range: int = 4_000, seed: int = 0, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
     """doc_id, source, size, source_size, target, taken (words, repeats counted), epochs (whole ones), rest (words of the last, partial one)."""
     d = pick_sizes(docs, seed, id_col, text_col, source_col)
     d = C.stored(d, "sizes")  # the text is read once
