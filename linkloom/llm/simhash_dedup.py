@@ -288,8 +288,8 @@ def bits_apart(jaccard: float, bits: int) -> int:
     return int(bits * math.acos(2 * jaccard / (1 + jaccard)) / math.pi)
 
 
-def similar_documents(docs: DataFrame, words: int = 5, similarity: float = 0.8, margin: float = 0.03, near: int = 4, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc, th, root: near-duplicate classes by five-word shingles.
+def similar_classes(docs: DataFrame, words: int = 5, similarity: float = 0.8, margin: float = 0.03, near: int = 4, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(doc, th, id) of every document and (id, root) of every distinct fingerprint set: near-duplicate classes by five-word shingles.
 
     Candidates come from Golay keys of four SimHashes of the word set, which small edits move little.  They are verified by a
     256-bit SimHash of the shingles, an estimate of their Jaccard similarity: it must reach `similarity` less `margin`, the
@@ -322,13 +322,21 @@ def similar_documents(docs: DataFrame, words: int = 5, similarity: float = 0.8,
     differ = F.aggregate(F.zip_with("as", "bs", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda s, x: s + x)
     roots = components(both.where(differ <= apart).select("a", "b"))
     of = nodes.select("id").join(roots.withColumnRenamed("node", "id"), "id", "left").select("id", F.coalesce("root", "id").alias("root"))
-    return keys.select("id", "doc", "th").join(of, "id").select("doc", "th", "root")
+    return keys.select("doc", "th", "id"), of
+
+
+def similar_documents(docs: DataFrame, words: int = 5, similarity: float = 0.8) -> DataFrame:
+    """doc, th, root of every document."""
+    keys, of = similar_classes(docs, words, similarity)
+    return keys.join(of, "id").select("doc", "th", "root")
 
 
 def keep_one(docs: DataFrame, words: int = 5, similarity: float = 0.8) -> DataFrame:
     """One document of each near-duplicate class stays: the one of the least id.  A document given twice stays once."""
-    cls = similar_documents(docs, words, similarity)
-    best = cls.groupBy("root").agg(F.min(F.struct("doc", "th")).alias("b")).select("b.doc", "b.th")
+    keys, of = similar_classes(docs, words, similarity)
+    # the first copy of each fingerprint set before the join, so that a large group of copies is one row there
+    first = keys.groupBy("id").agg(F.min(F.struct("doc", "th")).alias("b"))
+    best = first.join(of, "id").groupBy("root").agg(F.min("b").alias("b")).select("b.doc", "b.th")
     wide, back = C.with_key(docs)
     kept = wide.join(best, ["doc", "th"], "left_semi").dropDuplicates(["doc", "th"])
     return back(kept)
