@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 
 from linkloom.llm import common as C
 
-MIN_SIZE, MAX_SIZE, MASK_BITS, MIN_RUN = 32, 256, 5, 96
+MIN_SIZE, MAX_SIZE, MASK_BITS, MIN_RUN = 24, 192, 4, 96
 GEAR = np.random.default_rng(20240607).integers(0, 2**32, 256, dtype=np.uint32)
 
 
