@@ -368,3 +368,21 @@ def brute(rows: list[tuple]) -> dict:
         edges = np.diff(np.r_[0, gone.astype(int), 0])
         out[(i, t)] = (len(raw), int(gone.sum()), int((edges == 1).sum()), hashlib.sha256(np.frombuffer(raw, np.uint8)[~gone].tobytes()).hexdigest())
     return out
+
+
+SQL = {
+    "op7_suffix_dedup": """
+WITH d AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
+w AS (SELECT doc_id, s, substr(h, 2 * s + 1, 200) AS x FROM (SELECT doc_id, h, unnest(range(greatest(len(h) // 2 - 99, 0))) AS s FROM d)),
+f AS (SELECT doc_id, s FROM w QUALIFY row_number() OVER (PARTITION BY x ORDER BY doc_id, s) > 1),
+i AS (SELECT doc_id, s, sum(new) OVER (PARTITION BY doc_id ORDER BY s) AS k
+      FROM (SELECT doc_id, s, CASE WHEN s > lag(s) OVER (PARTITION BY doc_id ORDER BY s) + 100 THEN 1 ELSE 0 END AS new FROM f)),
+r AS (SELECT doc_id, k, min(s) AS s, max(s) + 100 AS e FROM i GROUP BY 1, 2),
+p AS (SELECT *, coalesce(lag(e) OVER (PARTITION BY doc_id ORDER BY k), 0) AS b FROM r),
+a AS (SELECT doc_id, sum(e - s)::BIGINT AS gone, count(*)::BIGINT AS spans, max(e) AS last, string_agg(substr(h, 2 * b + 1, 2 * (s - b)), '' ORDER BY k) AS kept
+      FROM p JOIN d USING (doc_id) GROUP BY 1)
+SELECT doc_id, (len(h) // 2)::BIGINT AS n_bytes, coalesce(gone, 0) AS n_removed, coalesce(spans, 0) AS n_spans,
+       sha256(unhex(CASE WHEN gone IS NULL THEN h ELSE kept || substr(h, 2 * last + 1) END)) AS kept_sha256
+FROM d LEFT JOIN a USING (doc_id)
+"""
+}
