@@ -1,7 +1,7 @@
 """Entity matching by names, token sets and URLs.
 
-Set matching is an equi-join on a canonical key with a residual subset test; only substring matching compares pairs, and it
-goes by shared 4-grams (equi-joins too), so no step is a nested loop over both sides.
+Set matching is an equi-join on a canonical key with a residual subset test.  Subsets and substrings are found by an equi-join
+on the rarest token or 4-gram, so no step is a nested loop over both sides and a frequent token pairs little.
 """
 
 from __future__ import annotations
@@ -63,21 +63,35 @@ def grams(c: Column, n: int = 4) -> Column:
     return F.array_distinct(F.transform(starts, lambda i: F.substring(c, i, F.lit(n))))
 
 
-def contains_pairs(left: DataFrame, right: DataFrame, n: int = 4) -> DataFrame:
-    """left.l, right.r (distinct texts) -> (l, r) where either contains the other, by the shorter one's first n characters.
+def subset_pairs(small: DataFrame, big: DataFrame) -> DataFrame:
+    """small: a, ts; big: b, us (sets, distinct rows) -> a, b, ts, us where ts is within us.
 
-    A text shorter than n is found by its whole self among the pieces of its own length.
+    One element of ts is enough to join on, so it is the one that fewest of the big sets have: a frequent element pairs
+    nothing unless a set has no other.
     """
+    posted = big.select("b", "us", F.explode("us").alias("g"))
+    known = posted.groupBy("g").agg(F.count("*").alias("n"))
+    each = small.select("a", "ts", F.explode("ts").alias("g")).join(known, "g", "left").withColumn("n", F.coalesce("n", F.lit(0)))
+    rare = first_per_key(each, ["a"], ["n", "g"]).where("n > 0").select("a", "ts", "g")
+    return rare.join(posted, "g").where(F.size(F.array_except("ts", "us")) == 0).select("a", "b", "ts", "us")
+
+
+def contained(inner: DataFrame, outer: DataFrame, n: int = 4) -> DataFrame:
+    """inner.a, outer.b (distinct texts) -> (a, b) where b contains a, by pieces of n characters, or of a's length if it is less."""
     out = None
-    for a, b, swap in ((left.select(F.col("l").alias("a")), right.select(F.col("r").alias("b")), False), (right.select(F.col("r").alias("a")), left.select(F.col("l").alias("b")), True)):
-        # a contains b
-        sizes = [(k, b.where(F.length("b") == k) if k < n else b.where(F.length("b") >= n)) for k in range(1, n + 1)]
-        for k, part in sizes:
-            pieces = a.select("a", F.explode(grams(F.col("a"), k)).alias("g"))
-            hit = pieces.join(part.withColumn("g", F.substring("b", 1, k)), "g").where(F.col("a").contains(F.col("b")))
-            hit = hit.select(F.col("b" if swap else "a").alias("l"), F.col("a" if swap else "b").alias("r"))
-            out = hit if out is None else out.unionByName(hit)
-    return out.distinct()
+    for k in range(1, n + 1):
+        part = inner.where(F.length("a") == k) if k < n else inner.where(F.length("a") >= n)
+        pairs = subset_pairs(part.select("a", grams(F.col("a"), k).alias("ts")), outer.where(F.length("b") >= k).select("b", grams(F.col("b"), k).alias("us")))
+        pairs = pairs.where(F.col("b").contains(F.col("a"))).select("a", "b")
+        out = pairs if out is None else out.unionByName(pairs)
+    return out
+
+
+def contains_pairs(left: DataFrame, right: DataFrame) -> DataFrame:
+    """left.l, right.r (distinct texts) -> (l, r) where either contains the other."""
+    l_in_r = contained(left.select(F.col("l").alias("a")), right.select(F.col("r").alias("b"))).select(F.col("a").alias("l"), F.col("b").alias("r"))
+    r_in_l = contained(right.select(F.col("r").alias("a")), left.select(F.col("l").alias("b"))).select(F.col("b").alias("l"), F.col("a").alias("r"))
+    return l_in_r.unionByName(r_in_l).distinct()
 
 
 def channel_id(queries: DataFrame, channels: DataFrame, name: str = "name", contains: bool = True) -> DataFrame:
@@ -113,10 +127,12 @@ def url_name_match(urls: DataFrame, names: DataFrame, url: str = "url", name: st
     single URL word spells, after up to three common endings.  Equal lengths: the first in order."""
     u = urls.select(F.col(url).alias("u")).distinct().withColumn("ts", U.url_tokens("u")).where(F.size("ts") > 0)
     n = names.select(T.norm_name(name).alias("n")).where("n <> ''").distinct().withColumn("at", T.without(T.words(F.col("n")), K.URL_DROP)).where(F.size("at") > 0)
-    hit = u.select("u", "ts", F.explode(F.array_distinct("ts")).alias("t")).join(n.select("n", "at", F.explode(F.array_distinct("at")).alias("t")), "t")
-    joined = F.array_join("at", "")
-    ok = (F.size(F.array_except("at", "ts")) == 0) | ((F.length(joined) >= 4) & F.array_join("ts", "").contains(joined))
-    first = hit.where(ok).select("u", "n").distinct().withColumn("step", F.lit(1))
+    within = subset_pairs(n.select(F.col("n").alias("a"), F.array_distinct("at").alias("ts")), u.select(F.col("u").alias("b"), F.array_distinct("ts").alias("us")))
+    within = within.select(F.col("b").alias("u"), F.col("a").alias("n"))
+    # the compact form in that of the URL counts if they share a token
+    cn, cu = n.select("n", "at", F.array_join("at", "").alias("a")).where(F.length("a") >= 4), u.select("u", "ts", F.array_join("ts", "").alias("b"))
+    spelt = contained(cn.select("a").distinct(), cu.select("b").distinct()).join(cn, "a").join(cu, "b").where(F.arrays_overlap("at", "ts")).select("u", "n")
+    first = within.unionByName(spelt).distinct().withColumn("step", F.lit(1))
     spelled = n.select("n", F.explode(F.array_distinct(F.array(T.compact(T.words(F.col("n"))), T.compact(F.col("at"))))).alias("t")).where("t <> ''")
     words = u.select("u", F.explode(F.filter("ts", lambda t: F.length(t) >= 4)).alias("t"))
     forms = words.withColumn("p0", F.col("t"))
@@ -145,12 +161,14 @@ def coverage_match(targets: DataFrame, stored: DataFrame, name: str = "name") ->
     known = token_set_match(names.select(F.col("__n").alias("name")), have.select(F.col("s").alias("name"))).where("known").select(F.col("name").alias("__n"))
     key = lambda c: F.array_distinct(T.without(T.tokens(c), K.QUALITY_TOKENS))
     a, b = names.withColumn("x", key("__n")).where(F.size("x") > 0), have.withColumn("y", key("s")).where(F.size("y") > 0)
-    pairs = a.select("__n", "x", F.explode("x").alias("w")).join(b.select("y", F.explode("y").alias("w")).distinct(), "w")
-    core = pairs.where((F.size(F.array_except("x", "y")) == 0) | (F.size(F.array_except("y", "x")) == 0)).select("__n")
+    one = lambda d, i, x, name, kind: d.select(F.col(i).alias(name), F.col(x).alias(kind)).distinct()
+    sub = subset_pairs(one(a, "__n", "x", "a", "ts"), one(b, "s", "y", "b", "us")).select(F.col("a").alias("__n"))
+    sup = subset_pairs(one(b, "s", "y", "a", "ts"), one(a, "__n", "x", "b", "us")).select(F.col("b").alias("__n"))
+    core = sub.unionByName(sup)
     ca = names.select("__n", T.compact(T.tokens("__n")).alias("l")).where("l <> ''")
     cb = have.select(T.compact(T.tokens("s")).alias("r")).where("r <> ''").distinct()
-    sub = ca.join(contains_pairs(ca.select("l").distinct(), cb), "l").select("__n")
-    hit = known.unionByName(core).unionByName(sub).distinct().withColumn("found", F.lit(True))
+    spelt = ca.join(contains_pairs(ca.select("l").distinct(), cb), "l").select("__n")
+    hit = known.unionByName(core).unionByName(spelt).distinct().withColumn("found", F.lit(True))
     return t.join(hit, "__n", "left").withColumn("found", F.coalesce("found", F.lit(False))).drop("__n")
 
 

@@ -120,7 +120,10 @@ def throttled(calls: DataFrame, key: str, ts: Column, order: list[str], gap_s: f
 
 
 def within_budget(rows: DataFrame, key: str | None, order: list, cap: int) -> DataFrame:
-    w = (Window.partitionBy(key) if key else Window.partitionBy()).orderBy(*order)
+    """The first `cap` rows, of each key or of all."""
+    if not key:
+        return rows.orderBy(*order).limit(cap)
+    w = Window.partitionBy(key).orderBy(*order)
     return rows.withColumn("__r", F.row_number().over(w)).where(F.col("__r") <= cap).drop("__r")
 
 
