@@ -126,7 +126,8 @@ def fit(docs: DataFrame, labels: DataFrame, target: str, most: int = SAMPLE) ->
     one table a task, reach the driver."""
     ids = labels.where(F.col(target).isNotNull() & F.col("doc_id").isNotNull()).groupBy("doc_id").agg(F.min(target).cast("int").alias("y"))
     few = C.stored(ids.orderBy(F.xxhash64(F.col("doc_id").cast("string")), "doc_id").limit(most), "sample")  # bounded: at most `most` ids
-    chosen = docs.join(F.broadcast(few), "doc_id").select("doc_id", "text", "y").coalesce(8)
+    # all tasks scan; the bounded sample alone is dealt to a few, as each of those sends one table of context sums
+    chosen = docs.join(F.broadcast(few), "doc_id").select("doc_id", "text", "y").repartition(8)
     names = ["doc_id", "y", "data"]
 
     def run(batches):
