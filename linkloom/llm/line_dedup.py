@@ -95,7 +95,7 @@ def _stream(min_docs: int):
                     if key is not None and is_open:
                         out += rows(1, held) + rows(2, [(*key, 0, 0, b"", pid)], n, first_doc, last_doc)
                     key, held, n, first_doc, last_doc, is_open = mine, [], 0, int(doc[s]), None, key is None
-                if e - s == 1 and e < len(k1) and not is_open and n == 0:
+                if min_docs > 1 and e - s == 1 and e < len(k1) and not is_open and n == 0:
                     n, last_doc = 1, int(doc[s])  # a key of one record, the usual case
                     continue
                 part = b.slice(s, e - s)

@@ -75,6 +75,11 @@ def test_line_dedup(spark, docs):
     assert kept.columns == df.columns and kept.count() == len(data)
 
 
+def test_line_dedup_of_single_lines(spark):
+    out = line_dedup.dedup_lines(frame(spark, [(1, "a\nb\n\na", None, None), (2, "c", None, None)]), 1).collect()
+    assert {(r["doc_id"], r["n_dropped"], r["text"]) for r in out} == {(1, 3, ""), (2, 1, "")}
+
+
 def test_line_dedup_hot_line_over_many_ranges(spark):
     data = [(i, "hot line\nown %d" % i, "en", "s") for i in range(4000)]
     out = line_dedup.dedup_lines(frame(spark, data).repartition(4))
