@@ -162,14 +162,15 @@ class Splitters:
 
 
 def sample_keys(docs: DataFrame, rows_of, most: int = SAMPLE_DOCS, per_doc: int = SAMPLE_PER_DOC) -> np.ndarray:
-    """(k1, k2, doc, th, pos) rows of at most `most` documents, `per_doc` of each, for Splitters.
+    """(k1, k2, doc, th, pos) rows of about `most` documents, `per_doc` of each on average, for Splitters.  The sample is taken
+    where the documents are read; only its keys reach the driver.
 
     rows_of(batch) returns the five arrays of one Arrow batch.
     """
     total = docs.count()
     if not total:
         return np.zeros((0, len(KEYS)), np.int64)
-    few = docs.sample(fraction=min(1.0, 1.2 * most / total), seed=11).limit(most)
+    few = docs.sample(fraction=min(1.0, most / total), seed=11)
 
     def run(batches):
         for b in batches:
