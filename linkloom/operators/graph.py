@@ -9,7 +9,7 @@ from linkloom.functions import parse as P
 from linkloom.functions.urls import host_of, is_raw_file, joined, page_key, page_priority
 
 
-def _durable(df: DataFrame) -> DataFrame:
+def durable(df: DataFrame) -> DataFrame:
     """Checkpoints to the shared folder; to a folder of our own only where none is set."""
     sc = df.sparkSession.sparkContext
     if not sc.getCheckpointDir():
@@ -28,11 +28,11 @@ def crawl(pages: DataFrame, seeds: DataFrame, max_pages: int = 30, levels: int =
     for depth in range(1, levels + 1):
         nxt = frontier.join(links, "key").where((F.col("host") == F.col("home")) | F.col("host").endswith(F.concat(F.lit("."), "home")))
         nxt = nxt.select("site", "home", F.col("to").alias("key")).distinct().join(p.select("key"), "key", "left_semi")
-        nxt = _durable(nxt.join(seen.select("site", "key"), ["site", "key"], "left_anti").withColumn("depth", F.lit(depth)).select("site", "home", "key", "depth"))
+        nxt = durable(nxt.join(seen.select("site", "key"), ["site", "key"], "left_anti").withColumn("depth", F.lit(depth)).select("site", "home", "key", "depth"))
         if nxt.isEmpty():
             break
         w = Window.partitionBy("site").orderBy("depth", page_priority("key"), "key")
-        seen = _durable(seen.unionByName(nxt).withColumn("r", F.row_number().over(w)).where(F.col("r") <= max_pages).drop("r"))
+        seen = durable(seen.unionByName(nxt).withColumn("r", F.row_number().over(w)).where(F.col("r") <= max_pages).drop("r"))
         frontier = nxt.join(seen.select("site", "key"), ["site", "key"], "left_semi")
     return seen.select("site", F.col("key").alias("url"), "depth")
 

@@ -147,3 +147,18 @@ def drop_keys(rows: DataFrame, reason: Column) -> tuple[DataFrame, DataFrame]:
     """Rows that stay, and (url, reason) of those that go."""
     r = rows.withColumn("__why", reason)
     return r.where(F.col("__why").isNull()).drop("__why"), r.where(F.col("__why").isNotNull()).select(text("url").alias("url"), F.col("__why").alias("reason"))
+
+
+def stored_channels(store: DataFrame, lang: str | None = None) -> DataFrame:
+    """Stored rows in the order they were kept, of one language or by language."""
+    return store.orderBy("lang", "updated_at", "url") if lang is None else store.where(F.col("lang") == lang).orderBy("updated_at", "url")
+
+
+def clear_language(store: DataFrame, lang: str) -> DataFrame:
+    return store.where(F.col("lang") != lang)
+
+
+def shared_dead(verdicts: DataFrame, listed: DataFrame, cfg: Config) -> DataFrame:
+    """URLs that sibling runs know to be dead: listed ones, and live dead verdicts."""
+    own = verdicts.where((F.col("status") == "dead") & is_alive(F.col("status"), F.col("checked_at"), cfg)).select("url")
+    return listed.select("url").unionByName(own).distinct()

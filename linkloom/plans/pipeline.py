@@ -149,3 +149,39 @@ def mined_links(pages: DataFrame, cfg: Config) -> DataFrame:
     """url, link: stream links of captured pages, else embedded players (three at most); few per page."""
     p = pages.withColumns({"own": P.harvest_links("html", "url", cfg.harvest_per_page), "inner": F.slice(P.extract_embeds("html", "url"), 1, 3)})
     return p.select("url", F.explode(F.when(F.size("own") > 0, F.col("own")).otherwise(F.col("inner"))).alias("link"))
+
+
+def proven_queries(queries: DataFrame, names: DataFrame, cfg: Config) -> DataFrame:
+    """query of each search query that names a channel of the language: a quoted name, or the query less its ending, is known,
+    regional, geo-blocked or let in by the gate."""
+    each = queries.select("query", F.explode(M.query_names(T.text("query"))).alias("name")).withColumns({"url": F.lit(""), "extinf": F.lit("")})
+    known = M.strict_match(M.token_set_match(each, names), names)
+    gate = G.matches_language(F.col("name"), F.lit(""), F.lit(""), strict=F.col("strict_known"), known=F.col("known"), url_known=F.lit(False), proven=F.lit(False), language=cfg.language)
+    return known.where(F.col("known") | G.is_regional("name") | G.is_geo_blocked("name") | gate).select("query").distinct()
+
+
+def catalog_candidates(catalog: DataFrame, streams: DataFrame, seen: DataFrame, cap: int = 2) -> DataFrame:
+    """Candidate rows of a catalogue: at most `cap` stream URLs of each entry, not seen and not blocked."""
+    few = R.per_group(streams, ["path"], ["url"], cap)
+    rows = catalog.join(few, "path").join(seen.select("url"), "url", "left_anti").where(~U.is_blocked_domain("url"))
+    return rows.select("url", "name", F.lit("").alias("referer"), F.lit("").alias("user_agent"), F.lit("").alias("quality"), F.lit("catalog").alias("source"), F.lit("").alias("extinf"), "logo", F.col("lang_code").alias("language"))
+
+
+def validate(seeds: DataFrame, responses: DataFrame, cfg: Config, levels: int = 3) -> DataFrame:
+    """url, depth, probe: seeds and what their pages lead to, level by level; a URL is judged once, at its first level.
+
+    Each level is written to the shared folder, and the driver sees only whether it is empty.
+    """
+    from linkloom.operators.graph import durable
+
+    frontier, out, seen = seeds.select("url").distinct(), None, None
+    for depth in range(levels):
+        got = classify(frontier.withColumn("needs_ua", F.lit(False)), responses, cfg)
+        got = durable(got.withColumn("depth", F.lit(depth)).select("url", "depth", "probe", "harvested"))
+        out = got if out is None else out.unionByName(got)
+        seen = frontier if seen is None else seen.unionByName(frontier)
+        links = got.where("probe.kind = 'page'").select(F.explode("harvested").alias("url")).where(U.is_probe_worthy("url")).distinct()
+        frontier = durable(links.join(seen, "url", "left_anti"))
+        if frontier.isEmpty():
+            break
+    return out.select("url", "depth", "probe")

@@ -272,3 +272,54 @@ def q_daily_windows(read, spark):
     """ST2 extension: tumbling windows, the batch side of the stream."""
     e = read("events").select("event_type", F.window(F.col("ts").cast("timestamp"), "1 day").alias("w"))
     return e.groupBy("event_type", F.date_format("w.start", "yyyy-MM-dd").alias("day")).agg(F.count("*").alias("n"))
+
+
+@query("""SELECT * FROM (VALUES ('"Zee TV" m3u8'), ('mega tv iptv'), ('"x" hindi stream')) AS x(query)""")
+def q_proven_queries(read, spark):
+    """Queries that themselves name a channel."""
+    q = spark.createDataFrame([(x,) for x in ('"Zee TV" m3u8', "mega tv iptv", '"x" hindi stream', "cooking news m3u8", "")], "query string")
+    return Pl.proven_queries(q, spark.createDataFrame([("Mega TV HD",)], "name string"), Config())
+
+
+@query("SELECT * FROM (VALUES ('http://a', 'N'), ('http://b', 'N')) AS x(url, name)")
+def q_catalog_candidates(read, spark):
+    """Two unseen stream URLs of each entry."""
+    cat = spark.createDataFrame([("p", "N", "hi", ""), ("q", "M", "hi", "")], "path string, name string, lang_code string, logo string")
+    st = spark.createDataFrame([("p", "http://a"), ("p", "http://b"), ("p", "http://c"), ("q", "http://seen")], "path string, url string")
+    return Pl.catalog_candidates(cat, st, spark.createDataFrame([("http://seen",)], "url string")).select("url", "name")
+
+
+@query("SELECT * FROM (VALUES ('http://s.example/watch', 0::BIGINT, 'page'), ('http://s.example/live/a.m3u8', 1, 'stream'), ('http://s.example/live/none.m3u8', 1, 'dead')) AS x(url, depth, kind)")
+def q_validate_levels(read, spark):
+    """Seeds, then what their pages lead to."""
+    page = '<html><a href="/live/a.m3u8"> "/live/a.m3u8" "/live/none.m3u8"</html>'
+    rows = [("http://s.example/watch", page, "text/html"), ("http://s.example/live/a.m3u8", HLS[1][1], "")]
+    r = Rd.responses(spark.createDataFrame([(u, "", 200, {"content-type": c}, b.encode(), 9.0) for u, b, c in rows], "url string, final_url string, status int, headers map<string,string>, body binary, latency_ms double"))
+    out = Pl.validate(spark.createDataFrame([("http://s.example/watch",)], "url string"), r, Config())
+    return out.select("url", F.col("depth").cast("long").alias("depth"), "probe.kind")
+
+
+@query("SELECT 'u' || user_id AS url FROM events WHERE event_type = 'error' AND 1706659200.0 - floor(epoch(ts)) < 604800 UNION SELECT c_name FROM customer WHERE c_custkey % 10 = 0")
+def q_shared_dead(read, spark):
+    """Listed dead URLs and live dead verdicts."""
+    from linkloom.queries.base import NOW, verdicts
+
+    listed = read("customer").where("c_custkey % 10 = 0").select(F.col("c_name").alias("url"))
+    return St.shared_dead(verdicts(read("events")), listed, Config(now=NOW))
+
+
+@query("SELECT c_mktsegment AS lang, c_name AS url FROM customer WHERE c_mktsegment = 'BUILDING' AND c_custkey % 2 = 0")
+def q_stored_channels(read, spark):
+    """Stored rows of one language."""
+    c = read("customer").select(F.col("c_mktsegment").alias("lang"), F.col("c_name").alias("url"), F.col("c_custkey").alias("updated_at"))
+    return St.stored_channels(St.clear_language(c, "MACHINERY"), "BUILDING").where("updated_at % 2 = 0").select("lang", "url")
+
+
+@query("SELECT o_orderkey AS k, row_number() OVER (ORDER BY CASE WHEN o_orderkey % 4 = 0 THEN 0 ELSE 1 END, o_orderkey)::BIGINT AS place FROM orders QUALIFY place <= 50")
+def q_probe_queue(read, spark):
+    """Direct links first, then in order of URL; 50 of them."""
+    from pyspark.sql import Window
+
+    o = read("orders").select(F.col("o_orderkey").alias("k"), F.concat(F.lit("http://h.example/"), F.when(F.col("o_orderkey") % 4 == 0, "live/").otherwise("a/"), F.lpad(F.col("o_orderkey").cast("string"), 12, "0")).alias("url"))
+    top = R.probe_order(o, "url", 50)
+    return top.select("k", F.row_number().over(Window.orderBy(U.probe_priority("url"), "url")).cast("long").alias("place"))

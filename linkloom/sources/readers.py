@@ -52,6 +52,14 @@ def target_list(spark: SparkSession, path: str, language: str | None = None) ->
     return rows if language in (None, "All") else rows.where(F.array_contains("languages", language))
 
 
+def targets(spark: SparkSession, folder: str, language: str = "All", merged: str = "all_channels.json") -> DataFrame:
+    """The language's own list, else the rows of the merged list that name the language."""
+    own = f"{folder.rstrip('/')}/{language.lower()}_channels.json"
+    if language != "All" and exists(spark, own):
+        return target_list(spark, own)
+    return target_list(spark, f"{folder.rstrip('/')}/{merged}", language)
+
+
 def platforms(spark: SparkSession, path: str) -> DataFrame:
     """Distinct platform names, the first spelling of each, in order."""
     raw = spark.read.schema(S.PLATFORMS).json(path, multiLine=True)

@@ -197,3 +197,32 @@ def test_validation_and_files(spark):
 
 def test_reference_tables_are_not_needed():
     assert not (Path(__file__).resolve().parents[1] / "data").exists()
+
+
+def test_target_lists(spark, tmp_path):
+    ch = lambda *rows: {"timestamp": "2024", "language": "x", "total": len(rows), "channels": [{"name": n, "languages": ls, "categories": []} for n, ls in rows]}
+    (tmp_path / "hindi_channels.json").write_text(json.dumps(ch(("A", ["Hindi"])), indent=1))
+    (tmp_path / "all_channels.json").write_text(json.dumps(ch(("A", ["Hindi"]), ("B", ["Tamil", "Hindi"]), ("C", []))))
+    names = lambda lang: [r["name"] for r in Rd.targets(spark, str(tmp_path), lang).orderBy("name").collect()]
+    assert (names("Hindi"), names("Tamil"), names("All")) == (["A"], ["B"], ["A", "B", "C"])
+    (tmp_path / "ott.json").write_text(json.dumps({"platforms": [{"s_no": 1, "name": " Jio "}, {"s_no": 2, "name": "JIO"}, {"s_no": 3, "name": ""}, {"s_no": 4, "name": "Voot"}]}))
+    assert [r["name"] for r in Rd.platforms(spark, str(tmp_path / "ott.json")).orderBy("_ord").collect()] == ["Jio", "Voot"]
+    feed = [{"channel": "A.in", "url": "http://a"}, {"channel": "A.in", "url": "udp://a"}, {"channel": "B.us", "url": "http://b"}, {"channel": "X.in", "url": "http://x"}]
+    (tmp_path / "streams.json").write_text(json.dumps(feed))
+    bad = spark.createDataFrame([("X.in",)], "id string")
+    assert [r["url"] for r in Rd.stream_rows(spark, str(tmp_path / "streams.json"), bad).collect()] == ["http://a"]
+
+
+def test_replace_language(spark, tmp_path):
+    rows = lambda *x: spark.createDataFrame([*x], "url string, lang string")
+    sinks.replace_language(rows(("a", "Hindi"), ("b", "Tamil")), str(tmp_path / "c"))
+    sinks.replace_language(rows(("z", "Hindi")), str(tmp_path / "c"))
+    assert {tuple(r) for r in spark.read.parquet(str(tmp_path / "c")).select("url", "lang").collect()} == {("z", "Hindi"), ("b", "Tamil")}
+    lists = spark.createDataFrame([("N", ["Hindi", "Klingon"], [])], "name string, languages array<string>, categories array<string>")
+    sinks.write_language_lists(lists, str(tmp_path / "l"), "2024-01-01")
+    assert [p.name for p in (tmp_path / "l").iterdir() if p.is_dir()] == ["file=hindi"]
+
+
+def test_coverage_markdown(spark):
+    r = spark.createDataFrame([("g", 8, 1)], "g string, total long, found long").withColumn("missing", F.col("total") - F.col("found")).withColumn("pct", F.lit(12.5))
+    assert sinks.coverage_markdown(r, "g").first()["value"] == "| g | 1 / 8 | 12.5% |"
