@@ -74,21 +74,21 @@ def q_contains_match(read, spark):
 
 
 @query("""
-WITH ch AS (SELECT c_custkey AS o, 'c' || c_custkey || '.in' AS id, lower(c_name) AS name FROM customer WHERE c_custkey % 2 = 0),
+WITH ch AS (SELECT c_custkey AS o, 'c' || c_custkey || '.in' AS id, lower(c_name) AS name FROM customer WHERE c_acctbal >= 0),
 q AS (SELECT c_custkey AS k, CASE c_custkey % 3 WHEN 0 THEN lower(c_name) WHEN 1 THEN lower(c_name) || ' plus' ELSE '' END AS name FROM customer)
 SELECT k, coalesce(e.id, n.id) AS channel_id FROM q LEFT JOIN (SELECT name AS en, max_by(id, o) AS id FROM ch GROUP BY 1) e ON name = en
 LEFT JOIN (SELECT q.k AS nk, min_by(ch.id, ch.o) AS id FROM q, ch WHERE q.name <> '' AND (contains(q.name, ch.name) OR contains(ch.name, q.name)) GROUP BY 1) n ON k = nk
 """)
 def q_channel_id(read, spark):
     """Exact, other name, containment; an empty name matches nothing."""
-    ch = _db(read).where(F.col("_ord") % 2 == 0)
+    ch = _db(read).where(~F.col("is_nsfw"))
     m = F.col("c_custkey") % 3
     q = read("customer").select(F.col("c_custkey").alias("k"), F.when(m == 0, F.col("c_name")).when(m == 1, F.concat("c_name", F.lit(" plus"))).otherwise("").alias("name"))
     return M.channel_id(q, ch).select("k", "channel_id")
 
 
 @query("""
-WITH t AS (SELECT DISTINCT p_type AS grp, p_name AS name FROM part), s AS (SELECT DISTINCT p_name AS name FROM part WHERE p_partkey % 29 = 0),
+WITH t AS (SELECT DISTINCT p_type AS grp, p_name AS name FROM part), s AS (SELECT DISTINCT p_name AS name FROM part WHERE p_brand = 'Brand#11'),
 f AS (
   SELECT grp, t.name, bool_or(s.name = t.name OR len(list_filter(string_split(t.name, ' '), lambda x: NOT list_contains(string_split(s.name, ' '), x))) = 0 OR len(list_filter(string_split(s.name, ' '), lambda x: NOT list_contains(string_split(t.name, ' '), x))) = 0
     OR contains(replace(t.name, ' ', ''), replace(s.name, ' ', '')) OR contains(replace(s.name, ' ', ''), replace(t.name, ' ', ''))) AS found FROM t, s GROUP BY 1, 2
@@ -98,7 +98,7 @@ SELECT grp, count(*)::BIGINT AS total, sum(found::INT)::BIGINT AS found, (count(
 def q_coverage(read, spark):
     """Found, missing and percentage per list, rounded half to even."""
     t = read("part").select(F.col("p_type").alias("grp"), F.col("p_name").alias("name")).distinct()
-    s = read("part").where("p_partkey % 29 = 0").select(F.col("p_name").alias("name")).distinct()
+    s = read("part").where("p_brand = 'Brand#11'").select(F.col("p_name").alias("name")).distinct()
     return M.coverage_report(M.coverage_match(t, s), "grp")
 
 
@@ -141,11 +141,11 @@ def q_semi_shared_dead(read, spark):
 
 
 @query("""
-SELECT DISTINCT 'c' || c_custkey || '.in' AS id FROM customer WHERE c_acctbal < 0 OR lower(c_mktsegment) = 'xxx' OR c_custkey % 17 = 0
+SELECT DISTINCT 'c' || c_custkey || '.in' AS id FROM customer WHERE c_acctbal < 0 OR lower(c_mktsegment) = 'xxx' OR c_mktsegment = 'FURNITURE'
 """)
 def q_blocklist(read, spark):
     """Union of listed, marked and categorised ids."""
-    listed = read("customer").where("c_custkey % 17 = 0").select(F.concat(F.lit("c"), "c_custkey", F.lit(".in")).alias("channel"), F.lit(" NSFW ").alias("reason"))
+    listed = read("customer").where("c_mktsegment = 'FURNITURE'").select(F.concat(F.lit("c"), "c_custkey", F.lit(".in")).alias("channel"), F.lit(" NSFW ").alias("reason"))
     return blocklist(_db(read), listed)
 
 
@@ -161,10 +161,10 @@ def q_blocklist_anti(read, spark):
     return E.drop_unfit(rows, db, blocklist(db, empty)).select("k")
 
 
-@query("SELECT c_custkey AS k, coalesce(n.n_name, 'Other') AS language FROM customer LEFT JOIN (SELECT * FROM nation WHERE n_nationkey % 2 = 0) n ON c_nationkey = n_nationkey")
+@query("SELECT c_custkey AS k, coalesce(n.n_name, 'Other') AS language FROM customer LEFT JOIN (SELECT * FROM nation WHERE n_regionkey < 3) n ON c_nationkey = n_nationkey")
 def q_language_tag(read, spark):
     """The first language of a key, else Other."""
-    t = read("nation").where("n_nationkey % 2 = 0").select(F.concat(F.lit("n"), "n_nationkey").alias("name"), F.lit("").alias("canonical_name"), F.array("n_name").alias("languages"), F.lit("").alias("language_raw"), F.array().cast("array<string>").alias("alt_names"), F.col("n_nationkey").alias("_ord"))
+    t = read("nation").where("n_regionkey < 3").select(F.concat(F.lit("n"), "n_nationkey").alias("name"), F.lit("").alias("canonical_name"), F.array("n_name").alias("languages"), F.lit("").alias("language_raw"), F.array().cast("array<string>").alias("alt_names"), F.col("n_nationkey").alias("_ord"))
     rows = read("customer").select(F.col("c_custkey").alias("k"), F.concat(F.lit("N"), "c_nationkey", F.lit(" (1080p)")).alias("name"))
     return E.tag_language(rows, E.language_map(t)).select("k", "language")
 

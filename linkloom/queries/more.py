@@ -171,10 +171,10 @@ def q_channel_queries(read, spark):
     return q.select("channel", F.size("queries").cast("long").alias("n"), F.element_at("queries", 1).alias("first"), F.element_at("queries", -1).alias("last"))
 
 
-@query("SELECT p_brand AS grp, string_agg(p_name, '|' ORDER BY p_name) AS missing FROM (SELECT * FROM (SELECT DISTINCT p_brand, p_name FROM part WHERE p_partkey % 7 = 0) QUALIFY row_number() OVER (PARTITION BY p_brand ORDER BY p_name) <= 15) GROUP BY 1")
+@query("SELECT p_brand AS grp, string_agg(p_name, '|' ORDER BY p_name) AS missing FROM (SELECT * FROM (SELECT DISTINCT p_brand, p_name FROM part) QUALIFY row_number() OVER (PARTITION BY p_brand ORDER BY p_name) <= 15) GROUP BY 1")
 def q_missing_names(read, spark):
     """The first missing names of a group."""
-    m = read("part").where("p_partkey % 7 = 0").select(F.col("p_brand").alias("grp"), F.col("p_name").alias("name"), F.lit(False).alias("found")).distinct()
+    m = read("part").select(F.col("p_brand").alias("grp"), F.col("p_name").alias("name"), F.lit(False).alias("found")).distinct()
     return M.missing_names(m, "grp", "name", 15).select("grp", F.array_join("missing", "|").alias("missing"))
 
 
@@ -254,16 +254,16 @@ def q_drop_counts(read, spark):
 
 
 @query("""
-WITH c AS (SELECT c_custkey AS k, CASE c_custkey % 3 WHEN 0 THEN lower(c_name) ELSE 'customer' END AS name FROM customer WHERE c_custkey <= 60),
-ch AS (SELECT 'c' || c_custkey AS id, lower(c_name) AS r FROM customer WHERE c_custkey <= 30)
+WITH c AS (SELECT c_custkey AS k, CASE WHEN c_custkey % 3 = 0 THEN lower(n_name) ELSE lower(n_name) || ' plus' END AS name FROM customer JOIN nation ON c_nationkey = n_nationkey),
+ch AS (SELECT 'n' || n_nationkey AS id, lower(n_name) AS r FROM nation)
 SELECT k, id AS channel_id FROM c, ch WHERE r = name UNION ALL
 SELECT k, id FROM c, ch WHERE NOT EXISTS (SELECT 1 FROM ch x WHERE x.r = name) AND (contains(r, name) OR contains(name, r))
 """)
 def q_channel_ids(read, spark):
     """The exact id alone, else all by containment."""
-    c = read("customer").where("c_custkey <= 60")
-    q = c.select(F.col("c_custkey").alias("k"), F.when(F.col("c_custkey") % 3 == 0, F.col("c_name")).otherwise("Customer").alias("name"))
-    ch = c.where("c_custkey <= 30").select(F.concat(F.lit("c"), "c_custkey").alias("id"), F.col("c_name").alias("name"), F.lit("").alias("alt_names"), F.col("c_custkey").alias("_ord"))
+    c = read("customer").join(F.broadcast(read("nation")), F.col("c_nationkey") == F.col("n_nationkey"))
+    q = c.select(F.col("c_custkey").alias("k"), F.when(F.col("c_custkey") % 3 == 0, F.col("n_name")).otherwise(F.concat("n_name", F.lit(" Plus"))).alias("name"))
+    ch = read("nation").select(F.concat(F.lit("n"), "n_nationkey").alias("id"), F.col("n_name").alias("name"), F.lit("").alias("alt_names"), F.col("n_nationkey").alias("_ord"))
     return M.channel_ids(q, ch).select("k", "channel_id")
 
 
@@ -299,20 +299,20 @@ def q_validate_levels(read, spark):
     return out.select("url", F.col("depth").cast("long").alias("depth"), "probe.kind")
 
 
-@query("SELECT 'u' || user_id AS url FROM events WHERE event_type = 'error' AND 1706659200.0 - floor(epoch(ts)) < 604800 UNION SELECT c_name FROM customer WHERE c_custkey % 10 = 0")
+@query("SELECT 'u' || user_id AS url FROM events WHERE event_type = 'error' AND 1706659200.0 - floor(epoch(ts)) < 604800 UNION SELECT c_name FROM customer WHERE c_acctbal < 0")
 def q_shared_dead(read, spark):
     """Listed dead URLs and live dead verdicts."""
     from linkloom.queries.base import NOW, verdicts
 
-    listed = read("customer").where("c_custkey % 10 = 0").select(F.col("c_name").alias("url"))
+    listed = read("customer").where("c_acctbal < 0").select(F.col("c_name").alias("url"))
     return St.shared_dead(verdicts(read("events")), listed, Config(now=NOW))
 
 
-@query("SELECT c_mktsegment AS lang, c_name AS url FROM customer WHERE c_mktsegment = 'BUILDING' AND c_custkey % 2 = 0")
+@query("SELECT c_mktsegment AS lang, c_name AS url FROM customer WHERE c_mktsegment = 'BUILDING'")
 def q_stored_channels(read, spark):
     """Stored rows of one language."""
     c = read("customer").select(F.col("c_mktsegment").alias("lang"), F.col("c_name").alias("url"), F.col("c_custkey").alias("updated_at"))
-    return St.stored_channels(St.clear_language(c, "MACHINERY"), "BUILDING").where("updated_at % 2 = 0").select("lang", "url")
+    return St.stored_channels(St.clear_language(c, "MACHINERY"), "BUILDING").select("lang", "url")
 
 
 @query("SELECT o_orderkey AS k, row_number() OVER (ORDER BY CASE WHEN o_orderkey % 4 = 0 THEN 0 ELSE 1 END, o_orderkey)::BIGINT AS place FROM orders QUALIFY place <= 50")

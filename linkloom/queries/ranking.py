@@ -128,11 +128,11 @@ def q_rotating_window(read, spark):
 
 
 @query("""
-SELECT doc_id FROM (SELECT doc_id, row_number() OVER (PARTITION BY lower(substr(text, 1, 40)) ORDER BY doc_id) AS r FROM documents) WHERE r = 1
+SELECT doc_id FROM (SELECT doc_id, row_number() OVER (PARTITION BY lower(text) ORDER BY doc_id) AS r FROM documents) WHERE r = 1
 """)
 def q_first_wins_dedup(read, spark):
     """The first of equal keys."""
-    return R.first_per_key(read("documents").select("doc_id", F.lower(F.substring("text", 1, 40)).alias("k")), ["k"], ["doc_id"]).select("doc_id")
+    return R.first_per_key(read("documents").select("doc_id", F.lower("text").alias("k")), ["k"], ["doc_id"]).select("doc_id")
 
 
 @query("SELECT source, doc_id FROM documents QUALIFY row_number() OVER (PARTITION BY source ORDER BY n_chars DESC, doc_id) <= 6")
