@@ -28,6 +28,8 @@ WORD = r"[0-9a-z\x{80}-\x{10FFFF}]+"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 #: Shingles of up to so many words are joined on.
 GRAM = 3
+#: All windows together must have at most so many characters to be broadcast.
+BROADCAST_CHARS = 64_000_000
 
 
 def words(text: Column) -> Column:
@@ -63,7 +65,9 @@ def hits(docs: DataFrame, items: DataFrame, size: int, broadcast_rows: int, id_c
     grams = wins.select("win", "ws", "n", k.alias("k"), F.explode(F.sequence(F.lit(0), F.col("n") - k)).alias("off"))
     one = F.coalesce(*[F.when(F.col("k") == j, shingle(F.col("ws"), F.col("off"), j)) for j in range(1, GRAM + 1)])
     grams = C.stored(grams.withColumn("g", one), "grams")
-    small = grams.count() <= broadcast_rows
+    # what is sent has at most one row per shingle and, in the second scan, the text of each window once
+    rows, chars = grams.count(), wins.agg(F.coalesce(F.sum(F.length("win")), F.lit(0))).first()[0]
+    small = rows <= broadcast_rows and chars <= BROADCAST_CHARS
     sent = F.broadcast if small else (lambda x: x)
     texts = docs.select("doc", "th", words(F.col("text")).alias("ws"))
     used = [r["k"] for r in grams.select("k").distinct().collect()]  # at most GRAM values
