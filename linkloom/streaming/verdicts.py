@@ -27,7 +27,7 @@ def _strike(cfg: Config):
             out.append((key[0], s, t, status, at, s == "dead" and status == "dead" and t - at >= cfg.strike_gap_s))
             status, at = s, t
         state.update((status, at))
-        yield pd.DataFrame(out, columns=["url", "status", "checked_at", "prev_status", "prev_at", "second_strike"])
+        yield pd.DataFrame(out, columns=["url", "status", "checked_at", "prev_status", "prev_at", "second_strike"]).astype({"prev_at": "float64"})
 
     return step
 
