@@ -150,24 +150,27 @@ class Splitters:
         lo, hi = (np.searchsorted(first, cols[0], side=s) for s in ("left", "right"))
         out = lo.astype(np.int32)
         tied = np.flatnonzero(hi > lo)
-        if len(tied):  # the key is that of a splitter: compare the rest
-            own = [c[tied] for c in cols]
-            for s in np.unique(np.concatenate([np.arange(a, b) for a, b in set(zip(lo[tied].tolist(), hi[tied].tolist(), strict=True))])):
-                more, equal = np.zeros(len(tied), bool), own[0] == first[s]
-                for c, v in zip(own[1:], self.rows[s, 1:], strict=True):
+        if len(tied):  # the key is that of some splitters: a binary search among them by the rest
+            own, lo, hi = [c[tied] for c in cols], lo[tied], hi[tied]
+            while (open_ := lo < hi).any():
+                mid = np.minimum((lo + hi) // 2, len(first) - 1)
+                more, equal = np.zeros(len(tied), bool), np.ones(len(tied), bool)
+                for c, v in zip(own[1:], self.rows[mid, 1:].T, strict=True):
                     more |= equal & (c > v)
                     equal = equal & (c == v)
-                out[tied] += (more | equal) & (own[0] == first[s])
+                reached = open_ & (more | equal)
+                lo, hi = np.where(reached, mid + 1, lo), np.where(open_ & ~reached, mid, hi)
+            out[tied] = lo
         return out
 
 
-def sample_keys(docs: DataFrame, rows_of, most: int = SAMPLE_DOCS, per_doc: int = SAMPLE_PER_DOC) -> np.ndarray:
-    """(k1, k2, doc, th, pos) rows of about `most` documents, `per_doc` of each on average, for Splitters.  The sample is taken
-    where the documents are read; only its keys reach the driver.
+def sample_keys(docs: DataFrame, rows_of, per_doc: int = SAMPLE_PER_DOC) -> np.ndarray:
+    """(k1, k2, doc, th, pos) rows of about SAMPLE_DOCS documents (half the number of partitions, if that is more), `per_doc` of
+    each on average, for Splitters.  The sample is taken where the documents are read; only its keys reach the driver.
 
     rows_of(batch) returns the five arrays of one Arrow batch.
     """
-    total = docs.count()
+    total, most = docs.count(), max(SAMPLE_DOCS, partitions(docs.sparkSession) // 2)
     if not total:
         return np.zeros((0, len(KEYS)), np.int64)
     few = docs.sample(fraction=min(1.0, most / total), seed=11)
