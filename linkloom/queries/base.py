@@ -7,6 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from linkloom.ship import ship
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
 
@@ -16,6 +18,7 @@ def query(sql: str | None = None):
 
     def add(f):
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+            ship(spark)
             return f(lambda name: spark.read.parquet(f"{sf_dir}/{name}.parquet"), spark)
 
         run.__doc__, run.__name__ = f.__doc__, f.__name__
