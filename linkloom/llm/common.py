@@ -11,6 +11,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from linkloom.ship import ship
+
 #: Stands for a null doc_id in internal keys, so that null ids sort last.
 NO_ID = 2**63 - 1
 #: Rows a sampling job may bring to the driver to place range splitters.  It only affects balance, never results.
@@ -29,6 +31,7 @@ def pick(df: DataFrame, **cols: str) -> DataFrame:
     Columns are taken by position, so other columns may have any name: dots, other case, repeats or the names used inside
     an operator.  An exact match wins over one that differs in case; the first of equal names wins.
     """
+    ship(df.sparkSession)
     names = df.columns
     lower = [c.lower() for c in names]
     flat = df.toDF(*[f"c{i}" for i in range(len(names))])
@@ -55,6 +58,7 @@ def keyed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
 
 def with_key(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"):
     """docs with its columns renamed c0, c1, ... plus doc and th, and a function that gives a result its own columns back."""
+    ship(docs.sparkSession)
     names = docs.columns
     flat = docs.toDF(*[f"c{i}" for i in range(len(names))])
     at = {k: f"c{names.index(k)}" for k in (id_col, text_col)}
