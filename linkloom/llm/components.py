@@ -11,6 +11,9 @@ from pyspark.sql import functions as F
 
 from linkloom.llm import common as C
 
+#: Rows of an edge table for each task that writes it.
+ROWS_A_FILE = 20_000
+
 
 def _star(edges: DataFrame, large: bool) -> DataFrame:
     """edges: a > b.  large: every larger neighbour of a node joins the node's least neighbour; small: every smaller one."""
@@ -27,14 +30,17 @@ def _star(edges: DataFrame, large: bool) -> DataFrame:
 
 def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
     """node, root: the least node of its component, for every node of an edge (a, b)."""
-    e = C.stored(edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).where("a <> b").distinct(), "edges")
-    mark = None
+    e, mark, n = C.stored(edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).where("a <> b").distinct(), "edges"), None, None
+    most = C.partitions(edges.sparkSession)
     for _ in range(rounds):
-        new = C.stored(_star(_star(e, True), False), "edges")
+        step = _star(_star(e, True), False)
+        if n is not None:  # few edges need few tasks and files
+            step = step.coalesce(max(1, min(most, -(-n // ROWS_A_FILE))))
+        new = C.stored(step, "edges")
         # a fixed point is a set of stars; the sums differ while anything moves
         now = new.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
         C.drop_stored(e)
-        e = new
+        e, n = new, now[0]
         if now == mark:
             break
         mark = now
