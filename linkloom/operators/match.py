@@ -78,13 +78,11 @@ def subset_pairs(small: DataFrame, big: DataFrame) -> DataFrame:
 
 def contained(inner: DataFrame, outer: DataFrame, n: int = 4) -> DataFrame:
     """inner.a, outer.b (distinct texts) -> (a, b) where b contains a, by pieces of n characters, or of a's length if it is less."""
-    out = None
-    for k in range(1, n + 1):
-        part = inner.where(F.length("a") == k) if k < n else inner.where(F.length("a") >= n)
-        pairs = subset_pairs(part.select("a", grams(F.col("a"), k).alias("ts")), outer.where(F.length("b") >= k).select("b", grams(F.col("b"), k).alias("us")))
-        pairs = pairs.where(F.col("b").contains(F.col("a"))).select("a", "b")
-        out = pairs if out is None else out.unionByName(pairs)
-    return out
+    size = F.least(F.length("a"), F.lit(n))
+    # pieces of different lengths differ as texts, so one join serves all lengths
+    small = inner.where(F.length("a") > 0).select("a", F.coalesce(*[F.when(size == k, grams(F.col("a"), k)) for k in range(1, n + 1)]).alias("ts"))
+    big = outer.select("b", F.array_distinct(F.concat(*[F.when(F.length("b") >= k, grams(F.col("b"), k)).otherwise(F.array().cast("array<string>")) for k in range(1, n + 1)])).alias("us"))
+    return subset_pairs(small, big).where(F.col("b").contains(F.col("a"))).select("a", "b")
 
 
 def contains_pairs(left: DataFrame, right: DataFrame) -> DataFrame:
