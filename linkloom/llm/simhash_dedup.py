@@ -120,16 +120,6 @@ def fingerprint(text: bytes, words: int) -> int:
     return majority(shingle_hashes(text, words))
 
 
-def word_prints(text: bytes, seeds: tuple[int, ...]) -> list[int]:
-    """SimHashes of the set of words, one per seed: as small edits leave most words alone, they are steadier than those of
-    long shingles."""
-    w = set(text.lower().split())
-    if not w:
-        return [0] * len(seeds)
-    a = np.fromiter(map(xxhash.xxh64_intdigest, w), np.uint64, len(w))
-    return [majority(remixed(a, s)) for s in seeds]
-
-
 def forest(prints: np.ndarray, near: int, checks: np.ndarray | None = None, near_check: int = 64) -> list[tuple[int, int]]:
     """Edges (row, row) of a spanning forest of the links among fingerprints."""
     out: list[tuple[int, int]] = []
@@ -280,47 +270,237 @@ def near_duplicates(docs: DataFrame, words: int = 4, near: int = 4, id_col: str
     return out.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
-SEEDS = (0x243F6A8885A308D3, 0x13198A2E03707344, 0xA4093822299F31D0, 0x082EFA98EC4E6C89)
+#: Seed of the second half of the check.
+SEED = 0x243F6A8885A308D3
+
+
+def bits_apart(jaccard: float, bits: int, sigmas: float = 0.0) -> int:
+    """How many of so many SimHash bits differ at that Jaccard similarity: on average, and so many standard deviations more."""
+    p = math.acos(2 * jaccard / (1 + jaccard)) / math.pi
+    return int(bits * p + sigmas * math.sqrt(bits * p * (1 - p)))
+
+
+def shingle_set(text: bytes, words: int) -> np.ndarray:
+    return np.unique(shingle_hashes(text, words))
+
+
+def prefix_size(n: int, similarity: float) -> int:
+    """Two sets of that Jaccard similarity share one of so many first members, in any order that is the same for both."""
+    return n - math.ceil(similarity * n - 1e-9) + 1 if n else 0
+
+
+def common_shingles(d: DataFrame, words: int) -> np.ndarray:
+    """Hashes of shingles that three or more of the sampled documents hold.  They come last in the order of shingles, so that a
+    passage of many documents makes no candidates.  It only affects the work, never results."""
+    total = d.count()
+
+    def run(batches):
+        for b in batches:
+            data, off = C.text_bytes(b.column("text"))
+            for i in range(b.num_rows):
+                yield pa.RecordBatch.from_arrays([pa.array(shingle_set(data[off[i] : off[i + 1]].tobytes(), words).view(np.int64))], ["h"])
+
+    few = d.select("text").sample(fraction=min(1.0, C.SAMPLE_DOCS / max(1, total)), seed=11).mapInArrow(run, "h long")
+    got = few.groupBy("h").agg(F.count("*").alias("n")).where("n >= 3").orderBy(F.col("n").desc(), "h").limit(100_000).collect()
+    return np.sort(np.array([r["h"] for r in got], np.int64).view(np.uint64))
+
+
+def _may_reach(similarity: float):
+    """Whether pairs of records of one shingle can be of the similarity: bounds by size and by the place of their first common
+    shingle, which are exact, and a 128-bit SimHash at four standard deviations, left out for small sets."""
+    apart, share = bits_apart(similarity, 128, 4.0), similarity / (1 + similarity)
+
+    def test(x, y):
+        n, m, i, j = x[2] >> 32, y[2] >> 32, x[2] & 0xFFFFFFFF, y[2] & 0xFFFFFFFF
+        low, high = np.minimum(n, m), np.maximum(n, m)
+        ok = (low >= similarity * high - 1e-6) & (np.minimum(n - i, m - j) >= share * (n + m) - 1e-6)
+        differ = np.bitwise_count(x[0] ^ y[0]).astype(np.int64) + np.bitwise_count(x[1] ^ y[1])
+        return ok & ((differ <= apart) | (low < 32))
+
+    return test
+
+
+def _candidates(similarity: float):
+    """Over partitions sorted by key: kind 0: candidate pairs (a, b), all those of a small bucket, and those of a large one with one
+    of its members, which differs from key to key; kind 1: the records of large buckets, whose other pairs wait for the
+    components of these."""
+    may = _may_reach(similarity)
+    names = ["kind", "a", "b", "key", "c0", "c1", "at"]
+
+    def bucket_rows(key, ids, c0, c1, at):
+        u = [c0.view(np.uint64), c1.view(np.uint64), at]
+        take = lambda rows: [c[rows] for c in u]
+        found = [np.zeros((0, 2), np.int64)]
+        cut = np.flatnonzero(np.r_[True, key[1:] != key[:-1]])
+        sizes = np.diff(np.r_[cut, len(key)])
+        size = np.repeat(sizes, sizes)
+        small = size <= SMALL
+        for d in range(1, SMALL):
+            if d >= len(key):
+                break
+            rows = np.flatnonzero((key[d:] == key[:-d]) & small[d:])
+            if not len(rows):
+                break
+            rows = rows[may(take(rows), take(rows + d))]
+            found.append(np.stack([ids[rows], ids[rows + d]], 1))
+        for s, n in zip(cut.tolist(), sizes.tolist(), strict=True):
+            if n > SMALL:
+                own = np.arange(s, s + n)
+                centre = s + int(remixed(ids[own].view(np.uint64), int(key[s]) & (2**64 - 1)).argmin())
+                hit = own[may(take(own), take(np.full(n, centre)))]
+                found.append(np.stack([ids[hit], np.full(len(hit), ids[centre])], 1))
+        pairs = np.unique(np.sort(np.concatenate(found), 1), axis=0)
+        pairs = pairs[pairs[:, 0] != pairs[:, 1]]
+        large = np.flatnonzero(~small)
+        none = np.zeros(len(pairs), np.int64)
+        cols = [np.r_[pairs[:, 0], ids[large]], np.r_[pairs[:, 1], ids[large]], *[np.r_[none, c[large]] for c in (key, c0, c1, at)]]
+        kind = np.r_[none, np.ones(len(large), np.int64)].astype(np.int32)
+        return pa.RecordBatch.from_arrays([pa.array(kind), *map(pa.array, cols)], names)
+
+    def run(batches):
+        held: list[list[np.ndarray]] = []
+        rows = 0
+        for b in batches:
+            held.append([C.longs(b, c) for c in ("key", "id", "c0", "c1", "at")])
+            rows += b.num_rows
+            if rows >= 200_000:
+                cols = [np.concatenate(x) for x in zip(*held, strict=True)]
+                cut = int(np.searchsorted(cols[0], cols[0][-1]))  # the last key may go on
+                if cut:
+                    yield bucket_rows(*[c[:cut] for c in cols])
+                held, rows = [[c[cut:] for c in cols]], len(cols[0]) - cut
+        if rows:
+            yield bucket_rows(*[np.concatenate(x) for x in zip(*held, strict=True)])
+
+    return run
+
 
+def _verified(similarity: float):
+    """Of pairs (a, b) with their shingle sets x and y, those of the similarity."""
 
-def bits_apart(jaccard: float, bits: int) -> int:
-    """How many of so many SimHash bits differ, on average, at that Jaccard similarity of equally long texts."""
-    return int(bits * math.acos(2 * jaccard / (1 + jaccard)) / math.pi)
+    def run(batches):
+        for b in batches:
+            keep = []
+            for x, y in zip(b.column("x"), b.column("y"), strict=True):
+                s, t = (np.frombuffer(v.as_buffer(), np.uint64) for v in (x, y))
+                both = len(np.intersect1d(s, t, assume_unique=True))
+                keep.append(both >= similarity * (len(s) + len(t) - both) - 1e-9)
+            yield b.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
+    return run
 
-def similar_classes(docs: DataFrame, words: int = 5, similarity: float = 0.8, margin: float = 0.03, near: int = 4, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc, th, id) of every document and (id, root) of every distinct fingerprint set: near-duplicate classes by five-word shingles.
 
-    Candidates come from Golay keys of four SimHashes of the word set, which small edits move little.  They are verified by a
-    256-bit SimHash of the shingles, an estimate of their Jaccard similarity: it must reach `similarity` less `margin`, the
-    estimate's error.  Texts of under 8 words link only if their shingle fingerprints are equal, as so few words say nothing about
-    likeness.
+def _across(similarity: float):
+    """Over records of large buckets sorted by key, with their root and shingle set: (a, b) of members of different roots that are
+    of the similarity, one pair for each two roots that meet."""
+    may = _may_reach(similarity)
+
+    def bucket(ids, root, c0, c1, at, sets):
+        u = [c0.view(np.uint64), c1.view(np.uint64), at]
+        own = [np.frombuffer(s, np.uint64) for s in sets]
+        n = np.array([len(s) for s in own])
+        ends = np.cumsum(n)
+        values, flat = np.unique(np.concatenate(own), return_inverse=True)
+        members = [flat[e - k : e] for e, k in zip(ends.tolist(), n.tolist(), strict=True)]
+        _, comp = np.unique(root, return_inverse=True)
+        marks, out = np.zeros(len(values), np.int64), []
+        for x in np.flatnonzero(comp != np.bincount(comp).argmax()).tolist():
+            other = np.flatnonzero(comp != comp[x])
+            other = other[may([c[other] for c in u], [c[x : x + 1] for c in u])]
+            if not len(other):
+                continue
+            marks[members[x]] = 1
+            both = np.add.reduceat(marks[np.concatenate([members[y] for y in other.tolist()])], np.r_[0, np.cumsum(n[other])[:-1]])
+            marks[members[x]] = 0
+            for y in other[both >= similarity * (n[x] + n[other] - both) - 1e-9].tolist():
+                if comp[y] != comp[x]:
+                    out.append((int(ids[x]), int(ids[y])))
+                    comp[comp == comp[y]] = comp[x]
+        return out
+
+    def run(batches):
+        key, held = None, []
+        for b in _and_end(batches):
+            cut = [0] if b is None else np.flatnonzero(np.r_[True, np.diff(C.longs(b, "key")) != 0]).tolist()
+            for s, e in zip(cut, [*cut[1:], 0 if b is None else b.num_rows], strict=True):
+                now = None if b is None else b.column("key")[s].as_py()
+                if held and now != key:
+                    cols = [np.concatenate([C.longs(p, c) for p in held]) for c in ("id", "root", "c0", "c1", "at")]
+                    pairs = np.array(bucket(*cols, [v for p in held for v in p.column("set").to_pylist()]), np.int64).reshape(-1, 2)
+                    yield pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], ["a", "b"])
+                    held = []
+                if b is not None:
+                    key, held = now, [*held, b.slice(s, e - s)]
+
+    return run
+
+
+def _and_end(batches):
+    """The batches that have rows, and then None."""
+    yield from (b for b in batches if b.num_rows)
+    yield None
+
+
+def similar_classes(docs: DataFrame, words: int = 5, similarity: float = 0.8, id_col: str = "doc_id", text_col: str = "text") -> tuple[DataFrame, DataFrame]:
+    """(doc, th, id) of every document and (id, root) of every distinct shingle set: the connected components of all pairs of
+    documents whose sets of five-word shingles (a text of fewer words is one) have that Jaccard similarity.
+
+    Pairs come from a prefix join: in an order of all shingles, by hash and the common ones last, two such sets share one of
+    their first fifth.  Every link is verified on the whole sets before components are taken.  Large buckets take two rounds, so that
+    a large class needs no comparison of all its pairs: first those with one member, then those of members that are still apart.
     """
     d = C.keyed(docs, id_col, text_col).select("doc", "th", "text")
-    prints, checks = ["p0", "p1", "p2", "p3"], ["check", "c1", "c2", "c3"]
-    cols = [*prints, *checks]
+    n, hot = C.partitions(d.sparkSession), common_shingles(d, words)
 
-    def run(batches):
+    def prints(batches):
         for b in batches:
             data, off = C.text_bytes(b.column("text"))
-            out, short = np.zeros((8, b.num_rows), np.uint64), np.zeros(b.num_rows, bool)
+            ids, at, first = np.zeros(b.num_rows, np.uint64), np.zeros((3, b.num_rows), np.int64), []
             for i in range(b.num_rows):
-                raw = data[off[i] : off[i + 1]].tobytes()
-                a = shingle_hashes(raw, words)
-                wide = [majority(a), *[majority(remixed(a, s)) for s in SEEDS[:3]]]
-                short[i] = len(raw.split(None, 8)) < 8
-                out[:, i] = [*(wide[:1] * 4 if short[i] else word_prints(raw, SEEDS)), *wide]
-            yield pa.RecordBatch.from_arrays([b.column("doc"), b.column("th"), pa.array(short), *map(pa.array, out.view(np.int64))], ["doc", "th", "short", *cols])
-
-    fps = C.stored(d.mapInArrow(run, "doc long, th long, short boolean, " + ", ".join(f"{c} long" for c in cols)), "prints")
-    keys = fps.withColumn("id", F.xxhash64("short", *cols))
-    nodes = C.stored(keys.groupBy("id").agg(*[F.first(c).alias(c) for c in ("short", *cols)]), "nodes")
-    apart = bits_apart(similarity - margin, 256)
-    edges = linked(nodes.where("NOT short").select("id", *prints, "check"), prints, near, (apart // 4 - 2, apart // 4 + 4)).distinct()
-    one, two = (nodes.select(F.col("id").alias(x), F.array(*checks).alias(f"{x}s")) for x in "ab")
-    both = edges.join(one, "a").join(two, "b")
-    differ = F.aggregate(F.zip_with("as", "bs", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda s, x: s + x)
-    roots = components(both.where(differ <= apart).select("a", "b"))
+                s = shingle_set(data[off[i] : off[i + 1]].tobytes(), words)
+                late = np.isin(s, hot, assume_unique=True)
+                ids[i] = xxhash.xxh3_64_intdigest(s.tobytes())
+                at[:, i] = len(s), *np.array([majority(s), majority(remixed(s, SEED))], np.uint64).view(np.int64)
+                first.append(np.concatenate([s[~late], s[late]])[: prefix_size(len(s), similarity)].tobytes())
+            yield pa.RecordBatch.from_arrays([b.column("doc"), b.column("th"), pa.array(ids.view(np.int64)), *map(pa.array, at), pa.array(first, pa.binary())], ["doc", "th", "id", "n", "c0", "c1", "first"])
+
+    keys = C.stored(d.mapInArrow(prints, "doc long, th long, id long, n long, c0 long, c1 long, first binary"), "prints")
+    nodes = C.stored(keys.groupBy("id").agg(F.min(F.struct("doc", "th", "n", "c0", "c1", "first")).alias("x")).select("id", "x.*"), "nodes")
+
+    def deal(batches):
+        for b in batches:
+            for i in range(0, b.num_rows, 2048):
+                part = b.slice(i, 2048)
+                data, off = C.text_bytes(part.column("first"))
+                count = np.diff(off) // 8
+                own = np.repeat(np.arange(len(count)), count)
+                place = np.arange(len(own)) - np.repeat(np.cumsum(count) - count, count)
+                ids, size, c0, c1 = (C.longs(part, c)[own] for c in ("id", "n", "c0", "c1"))
+                key = np.frombuffer(data[off[0] : off[-1]].tobytes(), np.int64)
+                yield pa.RecordBatch.from_arrays([*map(pa.array, (key, ids, c0, c1, (size << 32) | place))], ["key", "id", "c0", "c1", "at"])
+
+    dealt = nodes.select("id", "n", "c0", "c1", "first").mapInArrow(deal, "key long, id long, c0 long, c1 long, at long").repartition(n, "key").sortWithinPartitions("key", "id")
+    found = C.stored(dealt.mapInArrow(_candidates(similarity), "kind int, a long, b long, key long, c0 long, c1 long, at long"), "candidates")
+
+    def whole(batches):
+        for b in batches:
+            data, off = C.text_bytes(b.column("text"))
+            out = [shingle_set(data[off[i] : off[i + 1]].tobytes(), words).tobytes() for i in range(b.num_rows)]
+            yield pa.RecordBatch.from_arrays([b.column("id"), pa.array(out, pa.binary())], ["id", "set"])
+
+    pairs, large = found.where("kind = 0").select("a", "b").distinct(), found.where("kind = 1").select(F.col("a").alias("id"), "key", "c0", "c1", "at")
+    need = found.select(F.col("a").alias("id")).unionByName(found.select(F.col("b").alias("id"))).distinct()
+    texts = d.join(nodes.select("id", "doc", "th").join(need, "id"), ["doc", "th"]).select("id", "text").dropDuplicates(["id"])
+    sets = C.stored(texts.mapInArrow(whole, "id long, set binary"), "sets")
+    one, two = sets.toDF("a", "x"), sets.toDF("b", "y")
+    edges = C.stored(pairs.join(one, "a").join(two, "b").select("a", "b", "x", "y").mapInArrow(_verified(similarity), "a long, b long"), "links")
+    roots = components(edges)
+    if not large.isEmpty():
+        rooted = large.join(roots.withColumnRenamed("node", "id"), "id", "left").withColumn("root", F.coalesce("root", "id"))
+        open_ = rooted.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo < hi").select("key")
+        apart = rooted.join(open_, "key", "left_semi").join(sets, "id").select("key", "id", "root", "c0", "c1", "at", "set")
+        more = apart.repartition(n, "key").sortWithinPartitions("key", "id").mapInArrow(_across(similarity), "a long, b long")
+        roots = components(edges.unionByName(C.stored(more, "links")))
     of = nodes.select("id").join(roots.withColumnRenamed("node", "id"), "id", "left").select("id", F.coalesce("root", "id").alias("root"))
     return keys.select("doc", "th", "id"), of
 
@@ -334,7 +514,7 @@ def similar_documents(docs: DataFrame, words: int = 5, similarity: float = 0.8)
 def keep_one(docs: DataFrame, words: int = 5, similarity: float = 0.8) -> DataFrame:
     """One document of each near-duplicate class stays: the one of the least id.  A document given twice stays once."""
     keys, of = similar_classes(docs, words, similarity)
-    # the first copy of each fingerprint set before the join, so that a large group of copies is one row there
+    # the first copy of each shingle set before the join, so that a large group of copies is one row there
     first = keys.groupBy("id").agg(F.min(F.struct("doc", "th")).alias("b"))
     best = first.join(of, "id").groupBy("root").agg(F.min("b").alias("b")).select("b.doc", "b.th")
     wide, back = C.with_key(docs)

@@ -370,3 +370,56 @@ def test_query_matches_sql(name, spark, duck):
 def test_crc_split_is_that_of_the_contract(spark):
     got = spark.range(50).select("id", language_id.crc_mod(F.col("id"), 5).alias("m")).collect()
     assert all(r["m"] == zlib.crc32(str(r["id"]).encode()) % 5 for r in got)
+
+
+def jaccard(a, b, n=5):
+    x, y = ({tuple(w[i : i + n]) for i in range(max(1, len(w) - n + 1))} for w in (a.split(), b.split()))
+    return len(x & y) / len(x | y)
+
+
+def block_copies(seed=12, n=60):
+    """Texts, and for each a copy with a block appended or cut off, of similarity 0.70 to 0.95."""
+    rng = random.Random(seed)
+    out = []
+    for i in range(n):
+        t = [f"w{rng.randrange(3000)}" for _ in range(rng.randrange(60, 400))]
+        k = int(len(t) * rng.uniform(0.05, 0.3))
+        c = [*t, *(f"w{rng.randrange(3000)}" for _ in range(k))] if i % 2 else t[: len(t) - k]
+        out += [(i, " ".join(t), "en", "s"), (1000 + i, " ".join(c), "en", "s")]
+    return out
+
+
+def test_near_dedup_finds_block_edits_and_only_similar_texts(spark):
+    data = block_copies()
+    text = {i: t for i, t, *_ in data}
+    kept = {r["doc_id"] for r in simhash_dedup.keep_one(frame(spark, data)).collect()}
+    near = {i: jaccard(text[i], text[1000 + i]) for i in range(60)}
+    assert sum(0.8 <= j < 0.95 for j in near.values()) >= 20 and sum(j < 0.8 for j in near.values()) >= 10
+    assert kept == {*range(60), *(1000 + i for i, j in near.items() if j < 0.8)}
+
+
+def test_near_dedup_of_a_large_group_joins_what_all_pairs_join(spark):
+    rng = random.Random(13)
+    base = [f"w{rng.randrange(3000)}" for _ in range(120)]
+    data = []
+    for i in range(150):
+        w = list(base)
+        for _ in range(rng.randrange(0, 7)):
+            w[rng.randrange(len(w))] = f"x{rng.randrange(9999)}"
+        data.append((i, " ".join(w), "en", "s"))
+    passage = " ".join(base[:30])
+    data += [(1000 + i, f"{passage} {' '.join(f'y{rng.randrange(9999)}' for _ in range(60))}", "en", "s") for i in range(80)]
+    root = {i: i for i, *_ in data}
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    for a, s, *_ in data:
+        for b, t, *_ in data:
+            if a < b and jaccard(s, t) >= 0.8:
+                x, y = find(a), find(b)
+                root[max(x, y)] = min(x, y)
+    kept = {r["doc_id"] for r in simhash_dedup.keep_one(frame(spark, data)).collect()}
+    assert kept == {find(i) for i in root} and 85 < len(kept) < 225
