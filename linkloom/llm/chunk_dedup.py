@@ -4,7 +4,8 @@ A gear rolling hash over the last 32 bytes sets chunk bounds where its top bits
 `max_size` bytes apart, so bounds move with the content and resist insertions.  Chunks are deduplicated by a 128-bit digest:
 records are range-partitioned by digest, with sampled bounds that may cut through a hot digest, sorted by (digest, document,
 position) and streamed.  Every chunk but the first with its digest is a repeat; a repeat goes if it stands in an unbroken run
-of repeats of `min_run` bytes or more, which leaves short chance repeats in clean text alone.
+of repeats of `min_run` bytes or more, which leaves short chance repeats in clean text alone, or in one that is its whole
+document, so that an exact copy goes however short it is.
 
 Defined results: null is empty text, which has no chunks.  Earlier means a smaller doc_id (null last), then text hash, then
 position.  A document given twice (same id and text) is one document.  Other columns are ignored; empty tables work.
@@ -120,7 +121,7 @@ def repeated_chunks(docs: DataFrame) -> DataFrame:
 
 
 def apply_repeats(data: bytes, starts: list[int], min_run: int) -> tuple[list[int], list[tuple[int, int]]]:
-    """Chunk ends, and the byte spans that go: runs of repeats of min_run bytes or more."""
+    """Chunk ends, and the byte spans that go: runs of repeats of min_run bytes or more, or of the whole text."""
     ends = bounds(np.frombuffer(data, np.uint8))
     gone, spans, s = set(starts), [], 0
     for e in ends:
@@ -130,7 +131,7 @@ def apply_repeats(data: bytes, starts: list[int], min_run: int) -> tuple[list[in
             else:
                 spans.append((s, e))
         s = e
-    return ends, [x for x in spans if x[1] - x[0] >= min_run]
+    return ends, [x for x in spans if x[1] - x[0] >= min_run or x == (0, len(data))]
 
 
 def dedup_chunks(docs: DataFrame, min_run: int = MIN_RUN, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

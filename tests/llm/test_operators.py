@@ -423,3 +423,9 @@ def test_near_dedup_of_a_large_group_joins_what_all_pairs_join(spark):
                 root[max(x, y)] = min(x, y)
     kept = {r["doc_id"] for r in simhash_dedup.keep_one(frame(spark, data)).collect()}
     assert kept == {find(i) for i in root} and 85 < len(kept) < 225
+
+
+def test_chunk_dedup_removes_short_exact_copies(spark):
+    data = [(i, t, "en", "s") for i, t in enumerate(["one short line", "one short line", "a much longer text " * 3, "one short line", "one short line too"])]
+    out = {r["doc_id"]: (bytes(r["kept"]), r["n_removed"]) for r in chunk_dedup.dedup_chunks(frame(spark, data)).collect()}
+    assert out[1] == out[3] == (b"", 14) and [out[i][1] for i in (0, 2, 4)] == [0, 0, 0]
