@@ -1,11 +1,12 @@
 """Secret scans: base patterns, and dictionary-primed zstandard novelty for what they miss.
 
-Base kinds are assign, access and hex (the patterns below).  Besides, each candidate - a token of 16 to 512 characters of
-letters, digits and +/_=-. with at least two character classes, after a word of sensitive context on the same line - is
-measured: its marginal compressed bytes are those of (surrounding text + candidate) less those of the surrounding text
-alone, both under a zstandard dictionary of identifiers and code.  Text that is like its surroundings or like code costs few
-bytes; a candidate of `novelty` or more marginal bytes per character is reported as kind novel, unless a base span
-overlaps it.
+Base kinds are assign, access and hex (the patterns below).  Besides, each candidate - a token of 16 or more characters of
+letters, digits and +/_=-. with at least two character classes, after a word of sensitive context on the same line or on the
+line before - is measured: its marginal compressed bytes are those of (surrounding text + candidate) less those of the
+surrounding text alone, both under a zstandard dictionary of identifiers and code.  Text that is like its surroundings or like
+code costs few bytes; a candidate of `novelty` or more marginal bytes per character is reported as kind novel, unless a base
+span overlaps it.  A candidate of over 512 characters is measured in pieces and reported whole if one of them is novel.  A line
+with a secret is itself context of the next line, so that a key of many lines is found to its last one of 16 characters or more.
 
 Defined results: null is empty text, with no spans.  Positions are code points, ends exclusive.  Spans are ordered by start,
 then kind in the order assign, access, hex, novel.  Other columns are ignored; repeated rows all appear; empty tables work.
@@ -28,7 +29,8 @@ ASSIGN = re.compile(r"""(?ai:(password|passwd|secret|token|api_?key))["']?\x20*[
 ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 HEX = re.compile(r"[0-9a-f]{16,}")
 SENSITIVE = re.compile(r"(?ai:pass(?:word|wd|phrase)?|secret|token|api[_-]?key|credential|bearer|auth(?:orization)?|private[_ -]?key|access[_-]?key|signature|client[_-]?id)")
-CANDIDATE = re.compile(r"[A-Za-z0-9+/_=.-]{16,512}")
+CANDIDATE = re.compile(r"[A-Za-z0-9+/_=.-]{16,}")
+PIECE = 512
 _WORDS = (b"password", b"passwd", b"secret", b"token", b"api", b"pass", b"credential", b"bearer", b"auth", b"private", b"access", b"signature", b"client")
 _HEX = bytes(1 if chr(i) in "0123456789abcdef" else 0 for i in range(256))
 _RUN = b"\x01" * 16
@@ -54,6 +56,12 @@ class Novelty:
     def size(self, data: bytes) -> int:
         return len(self.c.compress(data))
 
+    def most(self, before: bytes, candidate: bytes, after: bytes) -> float:
+        """The marginal bytes of the most novel of its pieces of equal length, of at most PIECE bytes."""
+        n = -(-len(candidate) // PIECE)
+        cuts = [len(candidate) * i // n for i in range(n + 1)]
+        return max(self.marginal(before + after, candidate[a:z]) for a, z in zip(cuts, cuts[1:], strict=False))
+
     def marginal(self, around: bytes, candidate: bytes) -> float:
         """Marginal compressed bytes for each byte of the candidate."""
         return (self.size(around + candidate) - self.size(around)) / max(1, len(candidate))
@@ -82,22 +90,30 @@ def novel_spans(text: str, base: list[tuple[int, int, int]], novelty: float, too
     if not any(w in low for w in _WORDS):
         return []
     out: list[tuple[int, int, int]] = []
-    seen = -1
+    line_end = lambda at: len(text) if (e := text.find("\n", at)) < 0 else e
+    done = -1  # all before is searched
     for m in SENSITIVE.finditer(text):
-        end = text.find("\n", m.end())
-        end = min(len(text) if end < 0 else end, m.end() + context)
-        for c in CANDIDATE.finditer(text, max(m.end(), seen), end + 512):
-            if c.start() >= end:
+        at, end = max(m.end(), done), line_end(min(len(text), line_end(m.end()) + 1))
+        while at < end:  # ends are those of lines, so no token is cut
+            c = CANDIDATE.search(text, at, end)
+            if not c:
                 break
-            seen = c.end()
+            at = c.end()
             token = c[0].strip(".-=")
             s = c.start() + c[0].find(token) if token else c.start()
             e = s + len(token)
-            if len(token) < 16 or classes(token) < 2 or any(a < e and s < z for a, _, z in base):
+            if len(token) < 16 or classes(token) < 2:
                 continue
-            around = (text[max(0, s - context) : s] + text[e : e + context]).encode("utf-8", "surrogatepass")
-            if tool.marginal(around, token.encode()) >= novelty:
+            if not any(a < e and s < z for a, _, z in base):
+                sides = text[max(0, s - context) : s], text[e : e + context]
+                if not sides[0].rpartition("\n")[2].strip() and not sides[1].partition("\n")[0].strip():
+                    sides = tuple(CANDIDATE.sub("", x) for x in sides)  # alone on its line: the other lines of a key are like it
+                before, after = (x.encode("utf-8", "surrogatepass") for x in sides)
+                if tool.most(before, token.encode(), after) < novelty:
+                    continue
                 out.append((s, 3, e))
+            end = max(end, line_end(min(len(text), line_end(e) + 1)))
+        done = max(done, end)
     return sorted(set(out))
 
 

@@ -429,3 +429,15 @@ def test_chunk_dedup_removes_short_exact_copies(spark):
     data = [(i, t, "en", "s") for i, t in enumerate(["one short line", "one short line", "a much longer text " * 3, "one short line", "one short line too"])]
     out = {r["doc_id"]: (bytes(r["kept"]), r["n_removed"]) for r in chunk_dedup.dedup_chunks(frame(spark, data)).collect()}
     assert out[1] == out[3] == (b"", 14) and [out[i][1] for i in (0, 2, 4)] == [0, 0, 0]
+
+
+def test_long_late_and_next_line_secrets_are_whole():
+    rng = random.Random(7)
+    draw = lambda n: "".join(rng.choice("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/") for _ in range(n))
+    key, pem = draw(1400), [draw(64) for _ in range(5)]
+    tool = secrets.Novelty()
+    novel = lambda t: [t[s:e] for s, _, e in secrets.novel_spans(t, secrets.base_spans(t), 0.75, tool)]
+    assert novel(f"Authorization: Bearer {key} end") == [key]
+    assert novel(f"Bearer {'of the and ' * 20}{key[:40]}") == [key[:40]]
+    assert novel("private key:\n" + "\n".join(pem) + "\nplain text follows here\n\n" + key) == pem
+    assert novel(f"nothing of the kind {key}") == []
