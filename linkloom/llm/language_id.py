@@ -94,19 +94,22 @@ def crc_mod(id_col: Column, m: int) -> Column:
 
 
 def fit(docs: DataFrame, train: Column, id_col: str, text_col: str, lang_col: str, per_lang: int = SAMPLE_PER_LANG) -> Kernel | None:
-    """Fitted on the `per_lang` documents of each language with the least hash of the id; only their features reach the driver."""
+    """Fitted on the `per_lang` documents of each language with the least hash of the id (of the text, where the id is null); only
+    their features reach the driver."""
     d = C.pick(docs, doc_id=id_col, text=text_col, lang=lang_col)
     able = d.where(train & F.col("lang").isNotNull() & F.col("text").isNotNull())
-    size = {r["lang"]: r["n"] for r in able.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.col("n").desc(), "lang").limit(MAX_LANGS).collect()}
+    # rows of a null id are told apart by their text
+    able = able.withColumn("h", F.when(F.col("doc_id").isNull(), F.xxhash64(F.lit(""), "text")).otherwise(F.xxhash64(F.col("doc_id").cast("string"))))
+    size = {r["lang"]: max(1, r["kinds"]) for r in able.groupBy("lang").agg(F.count("*").alias("n"), F.approx_count_distinct("h").alias("kinds")).orderBy(F.col("n").desc(), "lang").limit(MAX_LANGS).collect()}
     langs = list(size)
     # a bound of the hash leaves about three times the rows wanted of each language, so no task ranks many
     part = F.lit(0.0)
     for lang, n in size.items():
         part = F.when(F.col("lang") == lang, min(1.0, (3.0 * per_lang + 100) / n)).otherwise(part)
-    ids = able.select("doc_id", "lang", F.xxhash64(F.col("doc_id").cast("string")).alias("h")).where(F.pmod("h", F.lit(1 << 20)) < part * (1 << 20))
-    first = Window.partitionBy("lang").orderBy(F.pmod("h", F.lit(1 << 20)), "h", "doc_id")
+    ids = able.select("h", "lang").where(F.pmod("h", F.lit(1 << 20)) < part * (1 << 20)).distinct()
+    first = Window.partitionBy("lang").orderBy(F.pmod("h", F.lit(1 << 20)), "h")
     ids = ids.withColumn("r", F.row_number().over(first)).where(F.col("r") <= per_lang)
-    few = C.stored(ids.select("doc_id", "lang"), "sample") if langs else None
+    few = C.stored(ids.select("h", "lang"), "sample") if langs else None
     if few is None:
         return None
 
@@ -119,7 +122,7 @@ def fit(docs: DataFrame, train: Column, id_col: str, text_col: str, lang_col: st
                 bits = np.packbits(presence([texts[j] for j in at]), axis=1)
                 yield pa.RecordBatch.from_arrays([part.column("lang").take(pa.array(at, pa.int32())), pa.array([x.tobytes() for x in bits], pa.binary())], ["lang", "bits"])
 
-    chosen = able.join(F.broadcast(few.distinct()), ["doc_id", "lang"])  # at most per_lang x MAX_LANGS ids
+    chosen = able.join(F.broadcast(few), ["h", "lang"]).dropDuplicates(["h", "lang", "text"])  # at most per_lang x MAX_LANGS hashes
     got = chosen.select("text", "lang").mapInArrow(run, "lang string, bits binary").limit(2 * per_lang * MAX_LANGS).collect()
     if not got:
         return None

@@ -441,3 +441,18 @@ def test_long_late_and_next_line_secrets_are_whole():
     assert novel(f"Bearer {'of the and ' * 20}{key[:40]}") == [key[:40]]
     assert novel("private key:\n" + "\n".join(pem) + "\nplain text follows here\n\n" + key) == pem
     assert novel(f"nothing of the kind {key}") == []
+
+
+@pytest.mark.parametrize("copies", [1, 300])
+def test_language_id_learns_from_rows_without_id(spark, copies):
+    rng = random.Random(11)
+    own = {"en": "the of and to that with this".split(), "de": "der die und nicht mit das ist".split()}
+    rare = [(1000 + i, " ".join(rng.choices(w, k=30)), lang, None) for lang, w in own.items() for i in range(5)]
+    none = [(None, " ".join(rng.choices(w, k=30)), lang, None) for lang, w in own.items() for i in range(500 // copies)] * copies
+    df = frame(spark, rare + none).repartition(3)
+    model = language_id.fit(df, F.lit(True), "doc_id", "text", "lang")
+    got = language_id.identify(df.select("doc_id", "text"), model).where("doc_id IS NOT NULL").join(df.select("doc_id", "text", "lang"), "doc_id")
+    assert model is not None and list(model.langs) == ["de", "en"] and model.marks.shape[1] > 1
+    none_only = language_id.fit(df.where("doc_id IS NULL"), F.lit(True), "doc_id", "text", "lang")
+    assert none_only is not None and language_id.predict(["the and that", "der und nicht"], none_only)[0] == ["en", "de"]
+    assert got.count() >= 10
