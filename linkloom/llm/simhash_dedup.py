@@ -375,17 +375,35 @@ def _candidates(similarity: float):
     return run
 
 
-def _verified(similarity: float):
-    """Of pairs (a, b) with their shingle sets x and y, those of the similarity."""
+def _verified(similarity: float, words: int):
+    """Over rows sorted by root and kind - kind 0: the texts of a component of the candidates, 1: its pairs (a, b) -: those pairs of
+    the similarity that are not joined by earlier ones, a spanning forest of all that are."""
 
     def run(batches):
+        now, sets, up = None, {}, {}
+
+        def find(x):
+            while up.setdefault(x, x) != x:
+                up[x] = x = up[up[x]]
+            return x
+
         for b in batches:
-            keep = []
-            for x, y in zip(b.column("x"), b.column("y"), strict=True):
-                s, t = (np.frombuffer(v.as_buffer(), np.uint64) for v in (x, y))
-                both = len(np.intersect1d(s, t, assume_unique=True))
-                keep.append(both >= similarity * (len(s) + len(t) - both) - 1e-9)
-            yield b.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
+            out = []
+            for root, a, z, text in zip(*(b.column(c).to_pylist() for c in ("root", "a", "b", "text")), strict=True):
+                if root != now:
+                    now, sets, up = root, {}, {}
+                if text is not None:
+                    if a not in sets:  # a document given twice
+                        sets[a] = shingle_set(text.encode("utf-8", "surrogatepass"), words)
+                elif (i := find(a)) != (j := find(z)):
+                    s, t = sets[a], sets[z]
+                    low, high = sorted((len(s), len(t)))
+                    both = len(np.intersect1d(s, t, assume_unique=True)) if low >= similarity * high - 1e-9 else 0
+                    if both >= similarity * (low + high - both) - 1e-9:
+                        up[i] = j
+                        out.append((a, z))
+            pairs = np.array(out, np.int64).reshape(-1, 2)
+            yield pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], ["a", "b"])
 
     return run
 
@@ -489,16 +507,27 @@ def similar_classes(docs: DataFrame, words: int = 5, similarity: float = 0.8, id
             yield pa.RecordBatch.from_arrays([b.column("id"), pa.array(out, pa.binary())], ["id", "set"])
 
     pairs, large = found.where("kind = 0").select("a", "b").distinct(), found.where("kind = 1").select(F.col("a").alias("id"), "key", "c0", "c1", "at")
-    need = found.select(F.col("a").alias("id")).unionByName(found.select(F.col("b").alias("id"))).distinct()
-    texts = d.join(nodes.select("id", "doc", "th").join(need, "id"), ["doc", "th"]).select("id", "text").dropDuplicates(["id"])
-    sets = C.stored(texts.mapInArrow(whole, "id long, set binary"), "sets")
-    one, two = sets.toDF("a", "x"), sets.toDF("b", "y")
-    edges = C.stored(pairs.join(one, "a").join(two, "b").select("a", "b", "x", "y").mapInArrow(_verified(similarity), "a long, b long"), "links")
+
+    def texts(ids):
+        """Their texts, and the columns of ids."""
+        own = ids.join(nodes.select("id", "doc", "th"), "id")
+        few = ids.count() <= 300_000
+        return d.join(F.broadcast(own) if few else own, ["doc", "th"])
+
+    pairs = C.stored(pairs, "pairs")
+    # each text goes once to the task that verifies all pairs of its component of candidates
+    near = components(pairs)
+    members = texts(near.withColumnRenamed("node", "id")).select("root", F.lit(0).alias("kind"), F.col("id").alias("a"), F.lit(0).cast("long").alias("b"), "text")
+    asked = pairs.join(near.withColumnRenamed("node", "a"), "a").select("root", F.lit(1).alias("kind"), "a", "b", F.lit(None).cast("string").alias("text"))
+    grouped = members.unionByName(asked).repartition(n, "root").sortWithinPartitions("root", "kind", "a", "b")
+    edges = C.stored(grouped.mapInArrow(_verified(similarity, words), "a long, b long"), "links")
     roots = components(edges)
     if not large.isEmpty():
         rooted = large.join(roots.withColumnRenamed("node", "id"), "id", "left").withColumn("root", F.coalesce("root", "id"))
         open_ = rooted.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo < hi").select("key")
-        apart = rooted.join(open_, "key", "left_semi").join(sets, "id").select("key", "id", "root", "c0", "c1", "at", "set")
+        rooted = C.stored(rooted.join(open_, "key", "left_semi"), "large")
+        sets = texts(rooted.select("id").distinct()).select("id", "text").dropDuplicates(["id"]).mapInArrow(whole, "id long, set binary")
+        apart = rooted.join(sets, "id").select("key", "id", "root", "c0", "c1", "at", "set")
         more = apart.repartition(n, "key").sortWithinPartitions("key", "id").mapInArrow(_across(similarity), "a long, b long")
         roots = components(edges.unionByName(C.stored(more, "links")))
     of = nodes.select("id").join(roots.withColumnRenamed("node", "id"), "id", "left").select("id", F.coalesce("root", "id").alias("root"))
