@@ -77,8 +77,7 @@ def _records(batch: pa.RecordBatch, low: int = 0, high: int | None = None) -> li
 
 def chunk_records(docs: DataFrame) -> DataFrame:
     """k1, k2 (the digest), doc, th, pos (the start), range by range in order."""
-    n = C.partitions(docs.sparkSession)
-    ranges = C.Splitters(C.sample_keys(docs, _records), n)
+    n, ranges = C.partitions(docs.sparkSession), C.splitters(docs, _records)
     names = [*C.KEYS, "pid"]
 
     def run(batches):
@@ -120,22 +119,24 @@ def repeated_chunks(docs: DataFrame) -> DataFrame:
     return seen.where("kind = 0").select("doc", "th", "pos").unionByName(firsts.select("doc", "th", "pos"))
 
 
-def apply_repeats(data: bytes, starts: list[int], min_run: int) -> tuple[list[int], list[tuple[int, int]]]:
-    """Chunk ends, and the byte spans that go: runs of repeats of min_run bytes or more, or of the whole text."""
+def apply_repeats(data: bytes, starts: list[int], min_run: int) -> tuple[int, int, list[tuple[int, int]]]:
+    """Numbers of chunks and of those that go, and the byte spans that go: runs of repeats of min_run bytes or more, or of the
+    whole text."""
     ends = bounds(np.frombuffer(data, np.uint8))
     gone, spans, s = set(starts), [], 0
     for e in ends:
         if s in gone:
             if spans and spans[-1][1] == s:
-                spans[-1] = (spans[-1][0], e)
+                spans[-1] = (spans[-1][0], e, spans[-1][2] + 1)
             else:
-                spans.append((s, e))
+                spans.append((s, e, 1))
         s = e
-    return ends, [x for x in spans if x[1] - x[0] >= min_run or x == (0, len(data))]
+    spans = [x for x in spans if x[1] - x[0] >= min_run or x[:2] == (0, len(data))]
+    return len(ends), sum(n for _, _, n in spans), [x[:2] for x in spans]
 
 
 def dedup_chunks(docs: DataFrame, min_run: int = MIN_RUN, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id, kept (the bytes that stay), n_bytes, n_chunks, n_repeats, n_removed (bytes), spans (byte start and end)."""
+    """doc_id, kept (the bytes that stay), n_bytes, n_chunks, n_repeats (those that go), n_removed (bytes), spans (byte start and end)."""
     d = C.keyed(docs, id_col, text_col)
     by_doc = repeated_chunks(d).groupBy("doc", "th").agg(F.collect_set("pos").alias("starts"))
     both = d.join(by_doc, ["doc", "th"], "left").select("doc_id", "text", "starts")
@@ -150,13 +151,13 @@ def dedup_chunks(docs: DataFrame, min_run: int = MIN_RUN, id_col: str = "doc_id"
                 out = []
                 for j, starts in enumerate(part.column("starts").to_pylist()):
                     raw = data[off[j] : off[j + 1]].tobytes()
-                    ends, spans = apply_repeats(raw, starts or [], min_run)
+                    chunks, repeats, spans = apply_repeats(raw, starts or [], min_run)
                     kept, at = [], 0
                     for s, e in spans:
                         kept.append(raw[at:s])
                         at = e
                     kept = b"".join([*kept, raw[at:]])
-                    out.append((kept, len(raw), len(ends), len(starts or []), len(raw) - len(kept), [{"start": s, "end": e} for s, e in spans]))
+                    out.append((kept, len(raw), chunks, repeats, len(raw) - len(kept), [{"start": s, "end": e} for s, e in spans]))
                 kept, *counts, spans = zip(*out, strict=True)
                 span = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
                 yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(kept, pa.binary()), *[pa.array(c, pa.int64()) for c in counts], pa.array(spans, span)], names)
@@ -181,9 +182,9 @@ def brute(rows: list[tuple], min_run: int = MIN_RUN) -> dict:
                 starts.append(s)
             seen.add(raw[s:e])
             s = e
-        _, spans = apply_repeats(raw, starts, min_run)
+        _, repeats, spans = apply_repeats(raw, starts, min_run)
         kept = bytearray(raw)
         for s, e in reversed(spans):
             del kept[s:e]
-        out[(i, t)] = (len(ends), len(starts), len(raw) - len(kept), hashlib.sha256(kept).hexdigest())
+        out[(i, t)] = (len(ends), repeats, len(raw) - len(kept), hashlib.sha256(kept).hexdigest())
     return out

@@ -131,6 +131,13 @@ def longs(batch: pa.RecordBatch, name: str) -> np.ndarray:
     return batch.column(name).to_numpy(zero_copy_only=False)
 
 
+def among(values: np.ndarray, known: np.ndarray) -> np.ndarray:
+    """Which values are in a sorted array."""
+    if not len(known):
+        return np.zeros(len(values), bool)
+    return known[np.minimum(np.searchsorted(known, values), len(known) - 1)] == values
+
+
 def signed(a: np.ndarray) -> np.ndarray:
     return a.view(np.int64)
 
@@ -142,12 +149,16 @@ KEYS = ("k1", "k2", "doc", "th", "pos")
 
 class Splitters:
     """Range bounds over (k1, k2, doc, th, pos) rows, found in a bounded sample.  Equal k1 may span several ranges, so one
-    hot key doesn't land in one task."""
+    hot key doesn't land in one task.  weight: how many rows each sampled one stands for."""
 
-    def __init__(self, rows: np.ndarray, n: int):
-        rows = rows[np.lexsort(rows.T[::-1])] if len(rows) else rows
-        at = np.unique((np.arange(1, n) * len(rows)) // n) if len(rows) else []
-        self.rows = rows[at] if len(rows) else np.zeros((0, len(KEYS)), np.int64)
+    def __init__(self, rows: np.ndarray, n: int, weight: np.ndarray | None = None):
+        if not len(rows):
+            self.rows = np.zeros((0, len(KEYS)), np.int64)
+            return
+        order = np.lexsort(rows.T[::-1])
+        total = np.cumsum(np.ones(len(rows)) if weight is None else weight[order])
+        at = np.searchsorted(total, total[-1] * np.arange(1, n) / n)
+        self.rows = rows[order][np.unique(np.minimum(at, len(rows) - 1))]
 
     def of(self, cols: list[np.ndarray]) -> np.ndarray:
         first = self.rows[:, 0]
@@ -168,26 +179,34 @@ class Splitters:
         return out
 
 
-def sample_keys(docs: DataFrame, rows_of, per_doc: int = SAMPLE_PER_DOC) -> np.ndarray:
-    """(k1, k2, doc, th, pos) rows of about SAMPLE_DOCS documents (half the number of partitions, if that is more), `per_doc` of
-    each on average, for Splitters.  The sample is taken where the documents are read; only its keys reach the driver.
+def sampled(cols: list[np.ndarray], most: int) -> tuple[list[np.ndarray], np.ndarray]:
+    """At most so many of the records, at random by the whole record (so that a hot key has its share), and what each stands for."""
+    h = np.zeros(len(cols[0]), np.uint64)
+    for c in cols:
+        h = (h ^ c.view(np.uint64)) * np.uint64(0x9E3779B97F4A7C15)
+        h ^= h >> np.uint64(29)
+    keep = h.argsort(kind="stable")[:most]
+    return [c[keep] for c in cols], np.full(len(keep), len(h) / max(1, len(keep)))
+
+
+def splitters(docs: DataFrame, rows_of, per_doc: int = SAMPLE_PER_DOC) -> Splitters:
+    """Splitters for as many ranges as there are partitions, from the records of about SAMPLE_DOCS documents (half the number of
+    partitions, if that is more), `per_doc` of each on average.  The sample is taken where the documents are read; only its
+    keys reach the driver.
 
     rows_of(batch) returns the five arrays of one Arrow batch.
     """
-    total, most = docs.count(), max(SAMPLE_DOCS, partitions(docs.sparkSession) // 2)
-    if not total:
-        return np.zeros((0, len(KEYS)), np.int64)
-    few = docs.sample(fraction=min(1.0, most / total), seed=11)
+    n = partitions(docs.sparkSession)
+    total, most = docs.count(), max(SAMPLE_DOCS, n // 2)
+    few = docs.sample(fraction=min(1.0, most / max(1, total)), seed=11)
 
     def run(batches):
         for b in batches:
-            cols = rows_of(b)
-            keep = (cols[0].view(np.uint64) * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(40)).argsort(kind="stable")
-            keep = keep[: per_doc * max(1, b.num_rows)]
-            yield pa.RecordBatch.from_arrays([pa.array(c[keep].astype(np.int64)) for c in cols], list(KEYS))
+            cols, weight = sampled([c.astype(np.int64) for c in rows_of(b)], per_doc * max(1, b.num_rows))
+            yield pa.RecordBatch.from_arrays([*map(pa.array, cols), pa.array(weight)], [*KEYS, "weight"])
 
-    got = few.mapInArrow(run, ", ".join(f"{k} long" for k in KEYS)).toPandas()
-    return got.to_numpy(np.int64)
+    got = few.mapInArrow(run, ", ".join(f"{k} long" for k in KEYS) + ", weight double").toPandas()
+    return Splitters(got[list(KEYS)].to_numpy(np.int64), n, got["weight"].to_numpy())
 
 
 class Runs:

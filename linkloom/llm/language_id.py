@@ -1,7 +1,7 @@
 """Language ID by a string kernel.
 
 The blended-spectrum presence kernel of two texts is the number of byte n-grams (n = 1 to 4, lower-cased UTF-8, hashed to
-8,192 features) that both contain, over the root of the product of their numbers.  A bounded sample of labelled texts gives
+32,768 features) that both contain, over the root of the product of their numbers.  A bounded sample of labelled texts gives
 the Nystroem landmarks and the training set of one-versus-rest kernel ridge regression.  Texts are scored in batches by two
 matrix products: presence against landmarks, then kernel values against the weights.
 
@@ -21,10 +21,13 @@ from pyspark.sql import functions as F
 
 from linkloom.llm import common as C
 
-FEATURES, GRAMS = 1 << 13, 4
-#: The classifier is fitted on at most so many texts of each language, of at most so many languages.
-SAMPLE_PER_LANG, MAX_LANGS, LANDMARKS = 400, 64, 192
+FEATURES, GRAMS = 1 << 15, 4
+#: The classifier is fitted on at most SAMPLE_PER_LANG texts of each language, and SAMPLE in all; with more languages fewer of each,
+#: but one at least.  There are LANDMARKS landmarks, or one of each language, if that is more.
+SAMPLE_PER_LANG, SAMPLE, LANDMARKS = 400, 25_600, 192
 RIDGE, SHARP = 1e-3, 6.0
+#: A text is of no learned language if fewer than LEAST of its features occur in 3 % of the training texts of the one it is taken for.
+LEAST, COMMON, ENOUGH, TEXTS = 0.35, 0.03, 100, 30
 _MUL = (np.uint32(0x85EBCA6B), np.uint32(0xC2B2AE35), np.uint32(0x27D4EB2F), np.uint32(0x165667B1))
 
 
@@ -36,7 +39,7 @@ def _mark(flags: np.ndarray, row: int, raw: np.ndarray) -> None:
         if len(raw) <= n:
             return
         g = (g[:-1] if n else g) * np.uint32(257) + b[n:] + np.uint32(1)
-        flags[row, ((g * _MUL[n]) ^ (g >> np.uint32(15))) * np.uint32(0x9E3779B1) >> np.uint32(19)] = True
+        flags[row, ((g * _MUL[n]) ^ (g >> np.uint32(15))) * np.uint32(0x9E3779B1) >> np.uint32(17)] = True
 
 
 def presence(texts: list[str]) -> np.ndarray:
@@ -63,6 +66,7 @@ class Kernel:
 
     def __init__(self, flags: np.ndarray, langs: np.ndarray, landmarks: int = LANDMARKS):
         self.langs = np.unique(langs)
+        landmarks = max(landmarks, len(self.langs))
         order = np.random.default_rng(5).permutation(len(langs))  # landmarks take turns over the languages
         turn = np.zeros(len(order))
         for c in self.langs:
@@ -78,10 +82,24 @@ class Kernel:
         w = np.sqrt(len(langs) / (len(self.langs) * (langs[:, None] == self.langs).sum(0)))[np.searchsorted(self.langs, langs)]
         zw = z * (w**2)[:, None]
         a = np.linalg.solve(zw.T @ z + RIDGE * len(x) * np.eye(z.shape[1]), zw.T @ y)
+        of = [flags[langs == c] for c in self.langs]
+        self.common = np.stack([x.mean(0) >= COMMON for x in of]).astype(np.float32)
+        self.judged = np.array([len(x) >= TEXTS for x in of])
         self.weights, self.bias = (root @ a[:-1]).astype(np.float32), a[-1].astype(np.float32)
 
-    def score(self, flags: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        s = SHARP * ((scaled(flags) @ self.marks) @ self.weights + self.bias)
+    def outputs(self, flags: np.ndarray) -> np.ndarray:
+        """(n, languages): near 1 for the own language, -1 for others."""
+        return (scaled(flags) @ self.marks) @ self.weights + self.bias
+
+    def learned(self, flags: np.ndarray, outputs: np.ndarray) -> np.ndarray:
+        """Whether LEAST of the text's features are common in the language it is taken for.  Texts of under ENOUGH features, and
+        languages of under TEXTS training texts, can't be judged so and pass."""
+        best, size = outputs.argmax(1), flags.sum(1)
+        common = (flags.astype(np.float32) @ self.common.T)[np.arange(len(flags)), best]
+        return (common >= LEAST * size) | (size < ENOUGH) | ~self.judged[best]
+
+    def score(self, outputs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        s = SHARP * outputs
         p = np.exp(s - s.max(1, keepdims=True))
         p /= p.sum(1, keepdims=True)
         best = p.argmax(1)
@@ -93,25 +111,23 @@ def crc_mod(id_col: Column, m: int) -> Column:
     return F.crc32(F.coalesce(id_col.cast("string"), F.lit("")).cast("binary")) % m
 
 
-def fit(docs: DataFrame, train: Column, id_col: str, text_col: str, lang_col: str, per_lang: int = SAMPLE_PER_LANG) -> Kernel | None:
-    """Fitted on the `per_lang` documents of each language with the least hash of the id (of the text, where the id is null); only
-    their features reach the driver."""
+def fit(docs: DataFrame, train: Column, id_col: str, text_col: str, lang_col: str, per_lang: int = SAMPLE_PER_LANG, most: int = SAMPLE) -> Kernel | None:
+    """Fitted on the `per_lang` documents of each language (fewer, if there are so many languages that they would be more than `most`
+    in all) with the least hash of id and text; only their features reach the driver."""
     d = C.pick(docs, doc_id=id_col, text=text_col, lang=lang_col)
     able = d.where(train & F.col("lang").isNotNull() & F.col("text").isNotNull())
-    # rows of a null id are told apart by their text
-    able = able.withColumn("h", F.when(F.col("doc_id").isNull(), F.xxhash64(F.lit(""), "text")).otherwise(F.xxhash64(F.col("doc_id").cast("string"))))
-    size = {r["lang"]: max(1, r["kinds"]) for r in able.groupBy("lang").agg(F.count("*").alias("n"), F.approx_count_distinct("h").alias("kinds")).orderBy(F.col("n").desc(), "lang").limit(MAX_LANGS).collect()}
-    langs = list(size)
+    able = able.withColumn("h", F.xxhash64(F.coalesce(F.col("doc_id").cast("string"), F.lit("")), "text"))
+    size = C.stored(able.groupBy("lang").agg(F.approx_count_distinct("h").alias("kinds")), "languages")
+    n = size.count()
+    if not n:
+        return None
+    per_lang = max(1, min(per_lang, most // n))
     # a bound of the hash leaves about three times the rows wanted of each language, so no task ranks many
-    part = F.lit(0.0)
-    for lang, n in size.items():
-        part = F.when(F.col("lang") == lang, min(1.0, (3.0 * per_lang + 100) / n)).otherwise(part)
-    ids = able.select("h", "lang").where(F.pmod("h", F.lit(1 << 20)) < part * (1 << 20)).distinct()
+    part = F.least(F.lit(1.0), (3.0 * per_lang + 100) / F.greatest("kinds", F.lit(1)))
+    ids = able.select("h", "lang").join(size, "lang").where(F.pmod("h", F.lit(1 << 20)) < part * (1 << 20)).select("h", "lang").distinct()
     first = Window.partitionBy("lang").orderBy(F.pmod("h", F.lit(1 << 20)), "h")
     ids = ids.withColumn("r", F.row_number().over(first)).where(F.col("r") <= per_lang)
-    few = C.stored(ids.select("h", "lang"), "sample") if langs else None
-    if few is None:
-        return None
+    few = C.stored(ids.select("h", "lang"), "sample")
 
     def run(batches):
         for b in batches:
@@ -122,8 +138,9 @@ def fit(docs: DataFrame, train: Column, id_col: str, text_col: str, lang_col: st
                 bits = np.packbits(presence([texts[j] for j in at]), axis=1)
                 yield pa.RecordBatch.from_arrays([part.column("lang").take(pa.array(at, pa.int32())), pa.array([x.tobytes() for x in bits], pa.binary())], ["lang", "bits"])
 
-    chosen = able.join(F.broadcast(few), ["h", "lang"]).dropDuplicates(["h", "lang", "text"])  # at most per_lang x MAX_LANGS hashes
-    got = chosen.select("text", "lang").mapInArrow(run, "lang string, bits binary").limit(2 * per_lang * MAX_LANGS).collect()
+    # the sample holds at most `most` hashes, or one of each language
+    chosen = able.join(F.broadcast(few), ["h", "lang"]).dropDuplicates(["h", "lang"])
+    got = chosen.select("text", "lang").mapInArrow(run, "lang string, bits binary").collect()
     if not got:
         return None
     got.sort(key=lambda r: (r["lang"], bytes(r["bits"])))
@@ -139,26 +156,32 @@ def identify(docs: DataFrame, model: Kernel | None, id_col: str = "doc_id", text
         for b in batches:
             for i in range(0, b.num_rows, 128):
                 part = b.slice(i, 128)
-                lang, score = predict(part.column("text").to_pylist(), model)
+                lang, score, _ = predict(part.column("text").to_pylist(), model)
                 yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(lang, pa.string()), pa.array(score, pa.float64())], ["doc_id", "lang_pred", "score"])
 
     return d.mapInArrow(run, f"doc_id {dict(d.dtypes)['doc_id']}, lang_pred string, score double")
 
 
-def predict(texts: list[str | None], model: Kernel | None) -> tuple[list[str], list[float]]:
-    lang, score = ["und"] * len(texts), [0.0] * len(texts)
+def predict(texts: list[str | None], model: Kernel | None) -> tuple[list[str], list[float], np.ndarray]:
+    """Language, score, and whether the text is of a learned language."""
+    lang, score, known = ["und"] * len(texts), [0.0] * len(texts), np.zeros(len(texts), bool)
     at = [j for j, t in enumerate(texts) if has_letters(t)] if model else []
     if at:
-        names, p = model.score(presence([texts[j] for j in at]))
+        flags = presence([texts[j] for j in at])
+        outputs = model.outputs(flags)
+        names, p = model.score(outputs)
+        known[at] = model.learned(flags, outputs)
         for j, n, x in zip(at, names.tolist(), p.tolist(), strict=True):
             lang[j], score[j] = n, min(1.0, max(0.0, x))
-    return lang, score
+    return lang, score, known
 
 
-def keep_known(docs: DataFrame, least: float = 0.27) -> DataFrame:
-    """The documents whose language is told: not `und`, and with a score of `least` or more; all columns as they were.
+def keep_known(docs: DataFrame) -> DataFrame:
+    """The documents of a learned language; all columns as they were.  Null texts and those without letters go, and longer ones with
+    too few n-grams that are common in the language they are taken for.  If no language is labelled, all go.
 
-    Fitted on the documents' own lang column (all labelled rows, by the same bounded sample).
+    Fitted on the documents' own lang column (all labelled rows, by the same bounded sample).  Null ids, repeated rows and ties
+    need no care here, as each row is judged by its text alone; an empty table stays empty.
     """
     model = fit(docs, F.lit(True), "doc_id", "text", "lang")
     names = docs.columns
@@ -169,8 +192,7 @@ def keep_known(docs: DataFrame, least: float = 0.27) -> DataFrame:
         for b in batches:
             for i in range(0, b.num_rows, 128):
                 part = b.slice(i, 128)
-                lang, score = predict(part.column(text).to_pylist(), model)
-                yield part.filter(pa.array([n != "und" and s >= least for n, s in zip(lang, score, strict=True)], pa.bool_()))
+                yield part.filter(pa.array(predict(part.column(text).to_pylist(), model)[2]))
 
     return flat.mapInArrow(run, flat.schema).toDF(*names)
 

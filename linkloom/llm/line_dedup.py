@@ -57,9 +57,7 @@ def _sample(batch: pa.RecordBatch) -> list[np.ndarray]:
 
 def line_records(docs: DataFrame) -> DataFrame:
     """k1, k2, doc, th, first, at (all positions, 4 bytes each), pid: the range."""
-    sample = C.sample_keys(docs, _sample)
-    n = C.partitions(docs.sparkSession)
-    ranges = C.Splitters(sample, n)
+    n, ranges = C.partitions(docs.sparkSession), C.splitters(docs, _sample)
 
     def run(batches):
         for b in batches:

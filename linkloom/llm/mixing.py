@@ -9,7 +9,7 @@ budget to within one.
 Targets: weights 1, 2, 3, repeating over the sources in code-point order (null last), share all words; a target stops at
 `max_epochs` times its source's words, and the excess is shared again by weight (water-filling, in closed form).
 
-Defined results: null text has size 0, a null source is a source, null ids come first in the order of their keys.  Repeated
+Defined results: null text has size 0, a null source is a source, a null id is keyed by its text.  Repeated
 rows are documents of their own.  Other columns are ignored; an empty table gives an empty table.  Integer arithmetic up to
 one final division makes reruns agree.
 """
@@ -66,7 +66,8 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = (1, 2, 3), max_epochs: int =
 def pick_sizes(docs: DataFrame, seed: int, id_col: str, text_col: str, source_col: str) -> DataFrame:
     d = C.pick(docs, doc_id=id_col, source=source_col, text=text_col)
     size = F.coalesce(F.regexp_count(F.col("text"), F.lit(WORD)), F.lit(0)).cast("long")
-    return d.select("doc_id", "source", size.alias("size"), F.md5(F.concat_ws(":", F.lit(str(seed)), F.col("doc_id").cast("string")).cast("binary")).alias("key"))
+    own = F.coalesce(F.col("doc_id").cast("string"), F.md5(F.coalesce("text", F.lit("")).cast("binary")))  # null ids are spread by their texts
+    return d.select("doc_id", "source", size.alias("size"), F.md5(F.concat_ws(":", F.lit(str(seed)), own).cast("binary")).alias("key"))
 
 
 def op5_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -78,7 +79,7 @@ SQL = {
     "op5_mix_sources": r"""
 WITH d AS (
   SELECT doc_id, source, coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0)::BIGINT AS size,
-         md5(concat_ws(':', '0', doc_id::VARCHAR)) AS key
+         md5(concat_ws(':', '0', coalesce(doc_id::VARCHAR, md5(coalesce(text, ''))))) AS key
   FROM documents
 ), s AS (
   SELECT source, sum(size)::BIGINT AS source_size, 3 * sum(size)::BIGINT AS cap,

@@ -106,8 +106,7 @@ def _records(batch: pa.RecordBatch, low: int = 0, high: int | None = None) -> li
 
 
 def anchor_records(docs: DataFrame) -> DataFrame:
-    n = C.partitions(docs.sparkSession)
-    ranges = C.Splitters(C.sample_keys(docs, _records), n)
+    n, ranges = C.partitions(docs.sparkSession), C.splitters(docs, _records)
 
     def run(batches):
         for b in batches:

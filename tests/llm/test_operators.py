@@ -168,7 +168,7 @@ def test_forest_of_a_wide_bucket_joins_what_all_pairs_join():
             root[find(a)] = find(b)
         return len({find(i) for i in range(len(prints))})
 
-    assert comps(simhash_dedup.forest(prints, 4)) == comps(simhash_dedup._search(prints, 4, None, 64))
+    assert comps(simhash_dedup.forest(prints, 4)) == comps(simhash_dedup._search(prints, 4))
 
 
 def test_components(spark):
@@ -456,3 +456,44 @@ def test_language_id_learns_from_rows_without_id(spark, copies):
     none_only = language_id.fit(df.where("doc_id IS NULL"), F.lit(True), "doc_id", "text", "lang")
     assert none_only is not None and language_id.predict(["the and that", "der und nicht"], none_only)[0] == ["en", "de"]
     assert got.count() >= 10
+
+
+def test_splitters_spread_a_hot_key_of_long_documents(spark):
+    """One key holds a fifth of all records of documents of 1,000 records."""
+    rng = random.Random(21)
+    data = [(i, "\n".join(["hot"] * 200 + [f"own {rng.random()}" for _ in range(800)]), None, None) for i in range(60)]
+    df = common.keyed(frame(spark, data))
+
+    def records(batch):
+        keys = [hash(x) if x != "hot" else 0 for t in batch.column("text").to_pylist() for x in t.split("\n")]
+        doc = np.repeat(common.longs(batch, "doc"), 1000)
+        return [np.array(keys, np.int64), np.zeros(len(keys), np.int64), doc, doc, np.tile(np.arange(1000), batch.num_rows)]
+
+    ranges = common.splitters(df, records)
+    cols = records(df.toArrow().to_batches()[0]) if len(df.toArrow().to_batches()) == 1 else [np.concatenate(x) for x in zip(*map(records, df.toArrow().to_batches()))]
+    load = np.bincount(ranges.of(cols))
+    assert len(load) == 4 and load.max() <= 2 * load.mean()
+
+
+def test_language_id_of_many_languages_keeps_every_class(spark):
+    rng = random.Random(4)
+    data = []
+    for lang in range(90):
+        own = ["".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(6)) for _ in range(12)]
+        data += [(lang * 50 + i, " ".join(rng.choices(own, k=25)), f"l{lang:02}", None) for i in range(3 if lang % 9 else 9)]
+    model = language_id.fit(frame(spark, data), F.lit(True), "doc_id", "text", "lang", most=200)
+    assert len(model.langs) == 90
+    got = language_id.predict([t for _, t, *_ in data], model)[0]
+    assert np.mean([a == r[2] for a, r in zip(got, data, strict=True)]) > 0.95
+
+
+@pytest.mark.parametrize("langs", [2, 3, 4])
+def test_text_of_no_learned_language_goes_and_clean_text_stays(spark, langs):
+    docs = spark.read.parquet(str(DATA).replace("sf0.001", "sf0.01") + "/documents.parquet")
+    own = docs.where(F.col("lang").isin(*["en", "de", "fr", "es"][:langs]))
+    rng = random.Random(6)
+    letters = lambda n: " ".join("".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(rng.randrange(2, 9))) for _ in range(n))
+    odd = [letters(60), letters(20_000), "Все счастливые семьи похожи друг на друга, каждая несчастливая семья несчастлива по-своему.", "12345", None]
+    bad = own.limit(1).select(*[F.col(c) for c in own.columns if c not in ("text", "doc_id")]).crossJoin(spark.createDataFrame([(-1 - i, t) for i, t in enumerate(odd)], "doc_id long, text string")).select(*own.columns).withColumn("lang", F.lit(None).cast("string"))
+    kept = {r["doc_id"] for r in language_id.keep_known(own.unionByName(bad)).select("doc_id").collect()}
+    assert not {-1, -2, -3, -4, -5} & kept and kept == {r["doc_id"] for r in own.where(F.col("text").rlike("\\p{L}")).select("doc_id").collect()}
