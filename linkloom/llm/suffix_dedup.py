@@ -4,11 +4,11 @@ A record for every suffix would not fit on disk, so suffixes are taken at anchor
 in some 100-byte window.  Equal windows have equal anchors, so a string of 100 bytes that occurs twice has an anchor in
 both places, at the same offset.  An anchor's context is all bytes that a window around it can reach: 76 on each side.
 
-1. Anchors are range-partitioned by (leading tokens, context, document, position) with sampled splitters, which may cut
-   through a hot anchor, and sorted.  A task streams its range: an anchor whose whole context stood earlier is covered to
+1. Anchors are range-partitioned by (leading bytes, the rest of the anchor, context, document, position) with sampled splitters,
+   which may cut through a hot anchor, and sorted; of all but the first three bytes hashes are kept.  A task streams its range: an anchor whose whole context stood earlier is covered to
    the full; the first one of each context goes on if its anchor has other contexts, or if it touches a range border, so
    that what lies on two sides of a border is compared too.
-2. Those go on with their context bytes.  Each bucket of equal anchors is sorted by multikey quicksort, once by the bytes to
+2. Those go on with their context bytes, dealt by the same splitters.  Each bucket of equal anchors is sorted by multikey quicksort, once by the bytes to
    the right and once by those to the left: two local suffix arrays with common-prefix lengths, from which equal windows
    follow at every offset.  All but the first (document, position) of equal windows are covered.
    Anchors with over `hot` contexts go by the digest of each window instead: a minimum with partial aggregation.
@@ -61,7 +61,8 @@ def _sliding(a: np.ndarray, width: int, f) -> np.ndarray:
 
 
 def anchors(data: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Of texts that lie one after another: text number, position in it, gram hash and context hash of each anchor."""
+    """Of texts that lie one after another: text number, position in it, order key and context hash of each anchor.  The order key is
+    three leading bytes and 40 bits of the hash of all 24."""
     n = int(off[-1])
     none = np.zeros(0, np.int64)
     if n < LENGTH:
@@ -81,7 +82,9 @@ def anchors(data: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray,
     lo, hi = np.maximum(at - SIDE, off[text]), np.minimum(at + LENGTH, off[text + 1])
     context = (sums[hi] - sums[lo]) * inverse[lo]
     context ^= ((at - lo) * 211 + (hi - at)).astype(np.uint64) * np.uint64(0xA24BAED4963EE407)
-    return text, at - off[text], gram[at], context
+    lead = (data[at].astype(np.uint64) << np.uint64(16)) | (data[at + 1].astype(np.uint64) << np.uint64(8)) | data[at + 2].astype(np.uint64)
+    low = (gram[at] * np.uint64(0xA24BAED4963EE407)) >> np.uint64(24)
+    return text, at - off[text], ((lead << np.uint64(40)) | low) ^ np.uint64(1 << 63), context  # the sign bit keeps the order of bytes
 
 
 def _records(batch: pa.RecordBatch, low: int = 0, high: int | None = None) -> list[np.ndarray]:
@@ -105,8 +108,8 @@ def _records(batch: pa.RecordBatch, low: int = 0, high: int | None = None) -> li
     return [np.concatenate(x) for x in zip(*cols, strict=True)] if cols else [np.zeros(0, np.int64)] * 5
 
 
-def anchor_records(docs: DataFrame) -> DataFrame:
-    n, ranges = C.partitions(docs.sparkSession), C.splitters(docs, _records)
+def anchor_records(docs: DataFrame, ranges: C.Splitters) -> DataFrame:
+    n = C.partitions(docs.sparkSession)
 
     def run(batches):
         for b in batches:
@@ -154,8 +157,9 @@ def _stream(batches):
         yield emit(False, [np.array([v]) for v in kept], [0])
 
 
-def _context_rows(batches):
-    """The context bytes of the anchors to be compared: left reversed, so that both sides read away from the anchor."""
+def _context_rows(batches, first: np.ndarray):
+    """The context bytes of the anchors to be compared: left reversed, so that both sides read away from the anchor; pid: the range of
+    the anchor, given the splitters' order keys."""
     for b in batches:
         for i in range(0, b.num_rows, 256):
             part = b.slice(i, 256)
@@ -169,7 +173,8 @@ def _context_rows(batches):
                     for c, v in zip(cols, (m["k1"], docs[j], ths[j], p, raw[max(0, p - SIDE) : p][::-1], raw[p : p + LENGTH]), strict=True):
                         c.append(v)
             kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.binary()]
-            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds, strict=True)], ["k1", "doc", "th", "pos", "left", "right"])
+            pid = pa.array(np.searchsorted(first, np.array(cols[0], np.int64)), pa.int32())
+            yield pa.RecordBatch.from_arrays([*[pa.array(c, k) for c, k in zip(cols, kinds, strict=True)], pid], ["k1", "doc", "th", "pos", "left", "right", "pid"])
 
 
 def multikey_sort(group: np.ndarray, digits: np.ndarray, size: np.ndarray) -> np.ndarray:
@@ -239,7 +244,8 @@ def _solve(batches):
     def done(rows):
         rows = [r for i, r in enumerate(rows) if not i or r[:4] != rows[i - 1][:4]]  # a document given twice
         k1, doc, th, pos, left, right = zip(*rows, strict=True)
-        lo, hi = covered(np.array(k1, np.int64), list(left), list(right))
+        grams: dict = {}  # an order key and all bytes of the anchor
+        lo, hi = covered(np.array([grams.setdefault((k, r[:GRAM]), len(grams)) for k, r in zip(k1, right, strict=True)], np.int64), list(left), list(right))
         at = np.flatnonzero(hi >= 0)
         pos = np.array(pos)[at]
         return pa.RecordBatch.from_arrays([pa.array(x, k) for x, k in zip((np.array(doc)[at], np.array(th)[at], pos - hi[at], pos - lo[at] + LENGTH), kinds, strict=True)], names)
@@ -275,28 +281,27 @@ def _windows(batches):
 
 def covered_spans(docs: DataFrame, texts: DataFrame, hot: int = HOT) -> DataFrame:
     """doc, th, s, e: spans of bytes to remove, not merged.  texts: docs dealt by (doc, th)."""
-    seen = C.stored(anchor_records(docs).mapInArrow(_stream, "whole boolean, k1 long, doc long, th long, pos long"), "anchors")
+    ranges = C.splitters(docs, _records)
+    seen = C.stored(anchor_records(docs, ranges).mapInArrow(_stream, "whole boolean, k1 long, doc long, th long, pos long"), "anchors")
     whole = seen.where("whole").select("doc", "th", (F.col("pos") - SIDE).alias("s"), (F.col("pos") + LENGTH).alias("e"))
     rest = seen.where("NOT whole")
-    many = [r["k1"] for r in rest.groupBy("k1").count().where(F.col("count") > hot).select("k1").limit(10_001).collect()]
-    n = C.partitions(docs.sparkSession)
+    many = C.stored(rest.groupBy("k1").count().where(F.col("count") > hot).select("k1"), "hot")
+    n, first = C.partitions(docs.sparkSession), ranges.rows[:, 0].copy()
 
     def contexts(rows: DataFrame) -> DataFrame:
         marks = rows.groupBy("doc", "th").agg(F.collect_list(F.struct("k1", "pos")).alias("marks"))
         both = texts.join(marks, ["doc", "th"]).select("text", "doc", "th", "marks")
-        return both.mapInArrow(_context_rows, "k1 long, doc long, th long, pos long, left binary, right binary")
-
-    # over 10,000 hot anchors: all are compared by digest
-    some = rest.where(~F.col("k1").isin(many)) if many else rest
-    parts = [whole]
-    if len(many) <= 10_000:
-        by_anchor = contexts(some).repartition(n, "k1").sortWithinPartitions("k1", "doc", "th", "pos")
-        parts.append(by_anchor.mapInArrow(_solve, "doc long, th long, s long, e long"))
-    if many:
-        hits = rest if len(many) > 10_000 else rest.where(F.col("k1").isin(many))
+        return both.mapInArrow(lambda batches: _context_rows(batches, first), "k1 long, doc long, th long, pos long, left binary, right binary, pid int")
+
+    any_hot = not many.isEmpty()
+    some = rest.join(many, "k1", "left_anti") if any_hot else rest
+    by_anchor = contexts(some).repartitionById(n, F.col("pid")).sortWithinPartitions("k1", "doc", "th", "pos")
+    parts = [whole, by_anchor.mapInArrow(_solve, "doc long, th long, s long, e long")]
+    if any_hot:
+        hits = rest.join(many, "k1", "left_semi")
         win = C.stored(contexts(hits).mapInArrow(_windows, "w1 long, w2 long, doc long, th long, s long"), "windows")
-        first = win.groupBy("w1", "w2").agg(F.min(F.struct("doc", "th", "s")).alias("f"))
-        late = win.join(first, ["w1", "w2"]).where(F.struct("doc", "th", "s") != F.col("f"))
+        least = win.groupBy("w1", "w2").agg(F.min(F.struct("doc", "th", "s")).alias("f"))
+        late = win.join(least, ["w1", "w2"]).where(F.struct("doc", "th", "s") != F.col("f"))
         parts.append(late.select("doc", "th", "s", (F.col("s") + LENGTH).alias("e")))
     out = parts[0]
     for p in parts[1:]:
