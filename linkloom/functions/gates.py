@@ -11,8 +11,8 @@ from linkloom import constants as K
 from linkloom.functions.text import norm_name, text
 from linkloom.functions.urls import is_bare_id
 
-_PHRASES = r"(?i)(?<![a-z0-9])(?:" + "|".join(sorted(map(re.escape, K.BRAND_PHRASES), key=len, reverse=True)) + ")"
-_WORDS = r"(?iU)(?<![\w])(?:" + "|".join(sorted(map(re.escape, K.BRAND_WORDS), key=len, reverse=True)) + r")(?![\w])"
+_PHRASES = r"(?i)(?<![a-z0-9])(?:" + "|".join(map(re.escape, K.BRAND_PHRASES)) + ")"
+_WORDS = r"(?iU)(?<![\w])(?:" + "|".join(map(re.escape, K.BRAND_WORDS)) + r")(?![\w])"
 _NAMES = K.BRAND_NAMES.replace("(?i)", "(?iU)", 1)
 
 

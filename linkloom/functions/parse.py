@@ -11,7 +11,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from linkloom import constants as K
-from linkloom.functions.text import text
+from linkloom.functions.text import let, text
 from linkloom.functions.urls import any_of, decoded, is_blocked_domain, joined
 
 _SCHEME = "(?:" + "|".join(K.URL_SCHEMES) + ")://"
@@ -25,8 +25,9 @@ def lines(doc: Column | str) -> Column:
 def last_wins(keys: Column, values: Column) -> Column:
     """A map of lower-cased keys in which later entries win, without changing session settings."""
     pairs = F.arrays_zip(F.transform(keys, F.lower).alias("k"), values.alias("v"))
-    later = F.filter(pairs, lambda p, i: ~F.exists(F.slice(pairs, i + 2, F.greatest(F.size(pairs), F.lit(1))), lambda q: q["k"] == p["k"]))
-    return F.map_from_entries(later)
+    ordered = F.array_sort(F.transform(pairs, lambda p, i: F.struct(p["k"].alias("k"), i.alias("i"), p["v"].alias("v"))))
+    last = let(ordered, lambda s: F.filter(s, lambda p, i: ~F.coalesce(F.get(s, i + 1)["k"] == p["k"], F.lit(False))))
+    return F.map_from_entries(F.transform(last, lambda p: F.struct(p["k"].alias("k"), p["v"].alias("v"))))
 
 
 def parse_attrs(line: Column | str) -> Column:
@@ -47,17 +48,15 @@ def parse_extinf(line: Column | str) -> Column:
 
 def extinf_entries(doc: Column | str) -> Column:
     """array of (pos, extinf, url): a #EXTINF line and the line right after it, if that is a URL.  A URL given twice keeps its
-    first place and its last info."""
-    ls = F.transform(lines(doc), lambda x: F.trim(x))
-    numbered = F.transform(ls, lambda x, i: F.struct(i.alias("pos"), x.alias("extinf"), F.coalesce(F.get(ls, i + 1), F.lit("")).alias("url")))
+    first place and its last info.  One sort by URL and place finds both."""
+    trimmed = F.transform(lines(doc), lambda x: F.trim(x))
+    numbered = let(trimmed, lambda ls: F.transform(ls, lambda x, i: F.struct(F.coalesce(F.get(ls, i + 1), F.lit("")).alias("url"), i.alias("pos"), x.alias("extinf"))))
     hits = F.filter(numbered, lambda e: e["extinf"].startswith("#EXTINF:") & e["url"].rlike("^(?i)" + _SCHEME))
-    urls = F.array_distinct(F.transform(hits, lambda e: e["url"]))
-
-    def merge(u: Column) -> Column:
-        own = F.filter(hits, lambda e: e["url"] == u)
-        return F.struct(own[0]["pos"].alias("pos"), F.element_at(own, -1)["extinf"].alias("extinf"), u.alias("url"))
-
-    return F.transform(urls, merge)
+    other = lambda s, e, i: ~F.coalesce(F.get(s, i)["url"] == e["url"], F.lit(False))
+    first = lambda s: F.filter(s, lambda e, i: F.when(i == 0, True).otherwise(other(s, e, i - 1)))
+    last = lambda s: F.filter(s, lambda e, i: other(s, e, i + 1))
+    both = let(F.array_sort(hits), lambda s: F.arrays_zip(first(s).alias("f"), last(s).alias("l")))
+    return F.array_sort(F.transform(both, lambda b: F.struct(b["f"]["pos"].alias("pos"), b["l"]["extinf"].alias("extinf"), b["f"]["url"].alias("url"))))
 
 
 def is_m3u(doc: Column | str) -> Column:
@@ -149,7 +148,7 @@ def script_endpoints(body: Column | str, cap: int = 8) -> Column:
 def master_variants(doc: Column | str) -> Column:
     """array of (pos, bandwidth, resolution, uri): each STREAM-INF and the next line that is no comment."""
     ls = F.filter(F.transform(lines(doc), lambda x: F.trim(x)), lambda x: (x != "") & (~x.startswith("#") | x.startswith("#EXT-X-STREAM-INF:")))
-    pairs = F.transform(ls, lambda x, i: F.struct(i.alias("pos"), x.alias("inf"), F.coalesce(F.get(ls, i + 1), F.lit("#")).alias("uri")))
+    pairs = let(ls, lambda v: F.transform(v, lambda x, i: F.struct(i.alias("pos"), x.alias("inf"), F.coalesce(F.get(v, i + 1), F.lit("#")).alias("uri"))))
     hits = F.filter(pairs, lambda p: p["inf"].startswith("#EXT-X-STREAM-INF:") & ~p["uri"].startswith("#"))
 
     def out(p: Column) -> Column:
@@ -162,8 +161,8 @@ def master_variants(doc: Column | str) -> Column:
 
 def best_variant(variants: Column) -> Column:
     """The variant of most bandwidth, the first of equals; null if there is none."""
-    top = F.array_max(F.transform(variants, lambda v: F.struct(v["bandwidth"].alias("b"), (-v["pos"]).alias("n"))))
-    return F.get(F.filter(variants, lambda v: (v["bandwidth"] == top["b"]) & (v["pos"] == -top["n"])), 0)
+    top = F.array_max(F.transform(variants, lambda v: F.struct(v["bandwidth"].alias("b"), (-v["pos"]).alias("n"), v.alias("v"))))
+    return top["v"]
 
 
 def media_segments(doc: Column | str, base: Column | str, cap: int = 4) -> Column:

@@ -8,6 +8,11 @@ from pyspark.sql import functions as F
 from linkloom import constants as K
 
 
+def let(value: Column, f) -> Column:
+    """f(value), where value is worked out once; inside a lambda an outer expression would be worked out for every element."""
+    return F.get(F.transform(F.array(value), f), 0)
+
+
 def text(c: Column | str) -> Column:
     """Missing text is empty."""
     return F.coalesce(F.col(c) if isinstance(c, str) else c, F.lit(""))

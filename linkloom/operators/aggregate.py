@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from linkloom.functions import text as T
+from linkloom.operators.rank import with_group_size  # noqa: F401
 
 
 def counts(df: DataFrame, *keys: str) -> DataFrame:
@@ -18,10 +19,6 @@ def breakdown(df: DataFrame, items: Column, order: str = "_ord") -> DataFrame:
     return e.groupBy("item").agg(F.count("*").alias("n"), F.min(F.struct("o", "p")).alias("first")).orderBy(F.col("n").desc(), "first")
 
 
-def with_group_size(df: DataFrame, key: str, name: str = "entries") -> DataFrame:
-    return df.withColumn(name, F.count("*").over(Window.partitionBy(key)))
-
-
 def last_wins(df: DataFrame, key: Column, value: Column, order: str = "_ord") -> DataFrame:
     """key -> the value of its last row."""
     return df.groupBy(key.alias("key")).agg(F.max_by(value, F.col(order)).alias("value"))

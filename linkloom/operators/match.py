@@ -69,20 +69,29 @@ def subset_pairs(small: DataFrame, big: DataFrame) -> DataFrame:
     One element of ts is enough to join on, so it is the one that fewest of the big sets have: a frequent element pairs
     nothing unless a set has no other.
     """
-    posted = big.select("b", "us", F.explode("us").alias("g"))
-    known = posted.groupBy("g").agg(F.count("*").alias("n"))
-    each = small.select("a", "ts", F.explode("ts").alias("g")).join(known, "g", "left").withColumn("n", F.coalesce("n", F.lit(0)))
-    rare = first_per_key(each, ["a"], ["n", "g"]).where("n > 0").select("a", "ts", "g")
-    return rare.join(posted, "g").where(F.size(F.array_except("ts", "us")) == 0).select("a", "b", "ts", "us")
+    posted = big.select("b", F.explode("us").alias("g"))
+    met = by_rarest(small.select("a", F.explode("ts").alias("g")), posted).join(small, "a").join(big, "b")
+    return met.where(F.size(F.array_except("ts", "us")) == 0).select("a", "b", "ts", "us")
+
+
+def by_rarest(asked: DataFrame, posted: DataFrame) -> DataFrame:
+    """asked: a, g; posted: b, g -> (a, b) that share the g of a that fewest b have.  Only ids and pieces are shuffled."""
+    known = posted.join(asked.select("g").distinct(), "g", "left_semi").groupBy("g").agg(F.count("*").alias("n"))
+    rare = asked.join(known, "g", "left").groupBy("a").agg(F.min(F.struct(F.coalesce("n", F.lit(0)).alias("n"), "g")).alias("x"))
+    return rare.where("x.n > 0").select("a", F.col("x.g").alias("g")).join(posted, "g").select("a", "b")
 
 
 def contained(inner: DataFrame, outer: DataFrame, n: int = 4) -> DataFrame:
     """inner.a, outer.b (distinct texts) -> (a, b) where b contains a, by pieces of n characters, or of a's length if it is less."""
     size = F.least(F.length("a"), F.lit(n))
-    # pieces of different lengths differ as texts, so one join serves all lengths
-    small = inner.where(F.length("a") > 0).select("a", F.coalesce(*[F.when(size == k, grams(F.col("a"), k)) for k in range(1, n + 1)]).alias("ts"))
-    big = outer.select("b", F.array_distinct(F.concat(*[F.when(F.length("b") >= k, grams(F.col("b"), k)).otherwise(F.array().cast("array<string>")) for k in range(1, n + 1)])).alias("us"))
-    return subset_pairs(small, big).where(F.col("b").contains(F.col("a"))).select("a", "b")
+    # pieces of different lengths differ as texts, so one join serves all lengths; only the lengths that are asked for are cut
+    lengths = sorted(r["k"] for r in inner.where(F.length("a") > 0).select(size.alias("k")).distinct().collect())  # n values at most
+    if not lengths:
+        return inner.select("a").join(outer.select("b"), F.lit(False))
+    asked = inner.where(F.length("a") > 0).select("a", F.explode(F.coalesce(*[F.when(size == k, grams(F.col("a"), k)) for k in lengths])).alias("g"))
+    none = F.array().cast("array<string>")
+    posted = outer.select("b", F.explode(F.array_distinct(F.concat(*[F.when(F.length("b") >= k, grams(F.col("b"), k)).otherwise(none) for k in lengths]))).alias("g"))
+    return by_rarest(asked, posted).where(F.col("b").contains(F.col("a")))
 
 
 def contains_pairs(left: DataFrame, right: DataFrame) -> DataFrame:

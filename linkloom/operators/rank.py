@@ -31,9 +31,9 @@ def _rank(df: DataFrame) -> Column:
 def best_per_channel(channels: DataFrame) -> DataFrame:
     """One row per URL key, the best, at the place of the first; rows without a URL go."""
     c = channels.withColumns({"__k": url_key("url"), "__rank": _rank(channels)}).where("__k <> ''")
-    w = Window.partitionBy("__k")
-    best = c.withColumn("__first", F.min("_ord").over(w)).withColumn("__r", F.row_number().over(w.orderBy(F.col("__rank").desc(), "_ord"))).where("__r = 1")
-    return best.withColumn("_ord", F.col("__first")).drop("__k", "__rank", "__r", "__first")
+    # one aggregation, partial before the shuffle: a hot URL is a row a task
+    best = c.groupBy("__k").agg(F.max_by(F.struct(*channels.columns), F.struct("__rank", -F.col("_ord"))).alias("__b"), F.min("_ord").alias("__first"))
+    return best.select(*[F.col("__first" if x == "_ord" else f"__b.{x}").alias(x) for x in channels.columns])
 
 
 def diverse_top_k(df: DataFrame, keys: list, tier: Column, order: list, cap: int) -> DataFrame:
@@ -75,10 +75,16 @@ def probe_order(df: DataFrame, url: str = "url", cap: int | None = None) -> Data
 
 def seed_order(rows: DataFrame, language: str, cap: int) -> DataFrame:
     """Streams of a language first, then by quality, rows of the channel and URL; `cap` at most."""
-    r = rows.withColumn("entries", F.count("*").over(Window.partitionBy("channel")))
+    r = with_group_size(rows, "channel")
     return r.orderBy((F.col("language") == language).cast("int").desc(), quality_rank("quality", empty=2).desc(), F.col("entries").desc(), "url").limit(cap)
 
 
+def with_group_size(df: DataFrame, key: str, name: str = "entries") -> DataFrame:
+    """The number of rows of the same key (nulls are one key), by a join on the counts."""
+    n = df.groupBy(F.col(key).alias("__g")).agg(F.count("*").alias(name))
+    return df.join(n, F.col(key).eqNullSafe(F.col("__g"))).drop("__g")
+
+
 def per_group(df: DataFrame, keys: list, order: list, cap: int) -> DataFrame:
     """The first `cap` rows of each group."""
     return df.withColumn("__r", F.row_number().over(Window.partitionBy(*keys).orderBy(*order))).where(F.col("__r") <= cap).drop("__r")

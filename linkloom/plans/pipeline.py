@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import itertools
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -141,16 +143,30 @@ def admit(rows: DataFrame, names: DataFrame, cfg: Config, proven: DataFrame | No
     if proven is not None:
         q = q.join(proven.select("url").distinct().withColumn("__p", F.lit(True)), "url", "left")
     has_proof = F.coalesce(F.col("__p"), F.lit(False)) if proven is not None else F.lit(False)
-    gate = G.matches_language(T.text("name"), T.text("url"), T.text("extinf"), strict=F.col("strict_known"), known=F.col("known"), url_known=F.col("best_name") != "", proven=has_proof, language=cfg.language)
+    gate = G.matches_language(T.text("name"), T.text("url"), T.text("extinf"), strict=F.col("strict_known"), known=F.col("known"), url_known=F.col("best_name") != "", proven=has_proof, language=cfg.language, any_list=F.lit(not names.isEmpty()))
     return q.where(gate).select(*rows.columns)
 
 
-def mined_links(pages: DataFrame, cfg: Config) -> DataFrame:
-    """url, link: stream links of captured pages, else embedded players (three at most); few per page."""
+def mined_links(pages: DataFrame, cfg: Config, captured: DataFrame | None = None) -> DataFrame:
+    """url, link: stream links of captured pages; else those in the answers of endpoints that their scripts name; else embedded
+    players (three at most); few per page.  captured: url, html of scripts and answers."""
     p = pages.withColumns({"own": P.harvest_links("html", "url", cfg.harvest_per_page), "inner": F.slice(P.extract_embeds("html", "url"), 1, 3)})
+    if captured is not None:
+        p = p.join(script_links(pages, captured, cfg), "url", "left")
+        p = p.withColumn("own", F.when(F.size("own") > 0, F.col("own")).otherwise(F.coalesce("told", F.array().cast("array<string>"))))
     return p.select("url", F.explode(F.when(F.size("own") > 0, F.col("own")).otherwise(F.col("inner"))).alias("link"))
 
 
+def script_links(pages: DataFrame, captured: DataFrame, cfg: Config) -> DataFrame:
+    """url, told: stream links in what the endpoints of a page's own scripts (inline, and `bundle_cap` files) answer."""
+    at = captured.select(F.col("url").alias("at"), F.col("html").alias("body")).dropDuplicates(["at"])
+    files = pages.select("url", F.explode(P.script_sources("html", "url", cfg.bundle_cap)).alias("at")).join(at, "at").select("url", "body")
+    code = files.unionByName(pages.select("url", F.col("html").alias("body")))
+    asked = code.select("url", F.explode(P.script_endpoints("body", cfg.endpoint_cap)).alias("e")).select("url", U.joined("url", "e").alias("at")).distinct()
+    links = asked.join(at, "at").select("url", F.explode(P.harvest_links("body", "at", cfg.harvest_per_page)).alias("link"))
+    return links.groupBy("url").agg(F.slice(F.sort_array(F.collect_set("link")), 1, cfg.harvest_per_page).alias("told"))
+
+
 def proven_queries(queries: DataFrame, names: DataFrame, cfg: Config) -> DataFrame:
     """query of each search query that names a channel of the language: a quoted name, or the query less its ending, is known,
     regional, geo-blocked or let in by the gate."""
@@ -162,26 +178,26 @@ def proven_queries(queries: DataFrame, names: DataFrame, cfg: Config) -> DataFra
 
 def catalog_candidates(catalog: DataFrame, streams: DataFrame, seen: DataFrame, cap: int = 2) -> DataFrame:
     """Candidate rows of a catalogue: at most `cap` stream URLs of each entry, not seen and not blocked."""
-    few = R.per_group(streams, ["path"], ["url"], cap)
+    few = R.per_group(streams, ["path"], ["place"], cap)
     rows = catalog.join(few, "path").join(seen.select("url"), "url", "left_anti").where(~U.is_blocked_domain("url"))
     return rows.select("url", "name", F.lit("").alias("referer"), F.lit("").alias("user_agent"), F.lit("").alias("quality"), F.lit("catalog").alias("source"), F.lit("").alias("extinf"), "logo", F.col("lang_code").alias("language"))
 
 
-def validate(seeds: DataFrame, responses: DataFrame, cfg: Config, levels: int = 3) -> DataFrame:
-    """url, depth, probe: seeds and what their pages lead to, level by level; a URL is judged once, at its first level.
+def validate(seeds: DataFrame, responses: DataFrame, cfg: Config) -> DataFrame:
+    """url, depth, probe, entries: seeds and what their pages lead to, level by level until nothing new comes; a URL is judged once,
+    at its first level, and of each level the `backlog_cap` URLs of best probe order.
 
     Each level is written to the shared folder, and the driver sees only whether it is empty.
     """
     from linkloom.operators.graph import durable
 
     frontier, out, seen = seeds.select("url").distinct(), None, None
-    for depth in range(levels):
+    for depth in itertools.count():
         got = classify(frontier.withColumn("needs_ua", F.lit(False)), responses, cfg)
-        got = durable(got.withColumn("depth", F.lit(depth)).select("url", "depth", "probe", "harvested"))
+        got = durable(got.withColumn("depth", F.lit(depth)).select("url", "depth", "probe", "entries", "harvested"))
         out = got if out is None else out.unionByName(got)
         seen = frontier if seen is None else seen.unionByName(frontier)
         links = got.where("probe.kind = 'page'").select(F.explode("harvested").alias("url")).where(U.is_probe_worthy("url")).distinct()
-        frontier = durable(links.join(seen, "url", "left_anti"))
+        frontier = durable(R.probe_order(links.join(seen, "url", "left_anti"), "url", cfg.backlog_cap))
         if frontier.isEmpty():
-            break
-    return out.select("url", "depth", "probe")
+            return out.select("url", "depth", "probe", "entries")

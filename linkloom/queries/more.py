@@ -206,11 +206,16 @@ def q_catalog(read, spark):
     return Rd.catalog(spark.createDataFrame([(j,)], "json string"))
 
 
-@query("SELECT * FROM (VALUES ('p', 'http://a'), ('p', 'http://b')) AS x(path, url)")
+@query("""
+WITH u AS (SELECT 'p' || p_partkey AS path, i, CASE WHEN (i + p_partkey) % 2 = 0 THEN 'http://h/' ELSE 'udp://' END || i || '/' || p_partkey AS url
+           FROM (SELECT p_partkey, p_size, unnest(range(0, p_size % 7 + 1)) AS i FROM part WHERE p_size % 3 <> 0))
+SELECT path, url, (row_number() OVER (PARTITION BY path ORDER BY i) - 1)::BIGINT AS place FROM u WHERE url LIKE 'http%' QUALIFY place < 2
+""")
 def q_stream_urls(read, spark):
     """Two stream URLs of each entry; none where access is denied."""
-    rows = [("p", '{"streams":[{"url":"http://a"},{"url":"http://b"},{"url":"http://c"}]}'), ("q", '{"hasAccess":false,"streams":[{"url":"http://d"}]}')]
-    return Rd.stream_urls(spark.createDataFrame(rows, "path string, json string"))
+    p = read("part").select(F.col("p_partkey").alias("k"), F.when(F.col("p_size") % 3 == 0, False).otherwise(True).alias("ok"), F.transform(F.sequence(F.lit(0), F.col("p_size") % 7), lambda i: F.struct(F.concat(F.when((i + F.col("p_partkey")) % 2 == 0, "http://h/").otherwise("udp://"), i.cast("string"), F.lit("/"), F.col("p_partkey").cast("string")).alias("url"))).alias("streams"))
+    answer = F.to_json(F.struct(F.struct(F.struct(F.col("ok").alias("hasAccess")).alias("streamStatus"), "streams").alias("response")))
+    return Rd.stream_urls(p.select(F.concat(F.lit("p"), "k").alias("path"), answer.alias("json"))).select("path", "url", F.col("place").cast("long").alias("place"))
 
 
 @query("SELECT * FROM (VALUES ('c2 &', 'c6 &', 'c9 &')) AS x(name, category_raw, remarks)")
@@ -285,7 +290,7 @@ def q_proven_queries(read, spark):
 def q_catalog_candidates(read, spark):
     """Two unseen stream URLs of each entry."""
     cat = spark.createDataFrame([("p", "N", "hi", ""), ("q", "M", "hi", "")], "path string, name string, lang_code string, logo string")
-    st = spark.createDataFrame([("p", "http://a"), ("p", "http://b"), ("p", "http://c"), ("q", "http://seen")], "path string, url string")
+    st = spark.createDataFrame([("p", "http://a", 0), ("p", "http://b", 1), ("p", "http://c", 2), ("q", "http://seen", 0)], "path string, url string, place int")
     return Pl.catalog_candidates(cat, st, spark.createDataFrame([("http://seen",)], "url string")).select("url", "name")
 
 

@@ -196,16 +196,18 @@ def catalog_entries(payload: str) -> list[dict]:
 def catalog(payloads: DataFrame, column: str = "json", lang_code: str | None = None) -> DataFrame:
     """path, name, lang_code, logo of a catalogue of unknown depth."""
     f = F.pandas_udf(lambda s: s.map(catalog_entries), "array<struct<path: string, name: string, lang_code: string, logo: string>>")
-    rows = payloads.select(F.explode(f(column)).alias("e")).select("e.*")
+    order = F.col("_ord") if "_ord" in payloads.columns else F.md5(column)  # without an order of payloads, one that reruns repeat
+    rows = payloads.select(order.alias("o"), F.posexplode(f(column)).alias("p", "e")).select("o", "p", "e.*")
     rows = rows if lang_code is None else rows.where(F.col("lang_code") == lang_code)
-    return first_per_key(rows, ["path"], ["name", "logo"])
+    return first_per_key(rows, ["path"], ["o", "p"]).drop("o", "p")
 
 
 def stream_urls(payloads: DataFrame, column: str = "json", cap: int = 2) -> DataFrame:
-    """path, url of captured stream answers; none where access is denied."""
-    s = F.from_json(F.col(column), "hasAccess boolean, streams array<struct<url: string>>")
-    rows = payloads.withColumn("s", s).where(F.coalesce(F.col("s.hasAccess"), F.lit(True)))
-    return rows.select("path", F.explode(F.slice("s.streams", 1, cap)).alias("u")).select("path", F.col("u.url").alias("url")).where(is_http("url"))
+    """path, url, place of captured stream answers: the first `cap` http URLs of each; none where access is denied."""
+    s = F.from_json(F.col(column), "response struct<streamStatus: struct<hasAccess: boolean>, streams: array<struct<url: string>>>")
+    rows = payloads.withColumn("s", s).where(F.coalesce(F.col("s.response.streamStatus.hasAccess"), F.lit(True)))
+    http = F.filter(F.transform("s.response.streams", lambda x: x["url"]), lambda u: is_http(u))
+    return rows.select("path", F.posexplode(F.slice(http, 1, cap)).alias("place", "url")).select("path", "url", "place")
 
 
 def state_lines(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:

@@ -79,6 +79,16 @@ def coverage_markdown(report: DataFrame, group: str) -> DataFrame:
     return report.orderBy(group).select(line.alias("value"))
 
 
+def coverage_json(report: DataFrame, missing: DataFrame, group: str, least: float = 50.0, names: int = 100) -> DataFrame:
+    """One JSON line: totals, percentages by group, groups under the limit, and the first missing names.  The report has a row a group."""
+    per = F.map_from_entries(F.sort_array(F.collect_list(F.struct(F.col(group), F.struct("found", "missing", "total", "pct")))))
+    low = F.sort_array(F.collect_list(F.when(F.col("pct") < least, F.col(group))))
+    pct = F.when(F.sum("total") > 0, F.bround(100.0 * F.sum("found") / F.sum("total"), 1)).otherwise(0.0)
+    total = report.agg(F.coalesce(F.sum("found"), F.lit(0)).alias("found"), F.coalesce(F.sum("missing"), F.lit(0)).alias("missing"), F.coalesce(F.sum("total"), F.lit(0)).alias("total"), pct.alias("pct"), per.alias("languages"), low.alias("low"))
+    first = missing.select(F.explode("missing").alias("n")).distinct().orderBy("n").limit(names).agg(F.sort_array(F.collect_list("n")).alias("missing_names"))
+    return total.join(F.broadcast(first)).select(F.to_json(F.struct("found", "missing", "total", "pct", "languages", "low", "missing_names")).alias("value"))
+
+
 def total_coverage(report: DataFrame, least: float = 50.0) -> DataFrame:
     """Overall percentage from the sums, and whether it is under the limit."""
     pct = F.bround(100.0 * F.sum("found") / F.sum("total"), 1)

@@ -96,8 +96,8 @@ def test_html_tables_and_catalogues(spark):
     assert [tuple(r) for r in Rd.platform_rows(d).collect()] == [(1, "n", "e")]
     j = json.dumps({"a": [{"detailPagePath": "p", "channelName": "N", "langCode": "hi", "icon": "i", "x": {"detailPagePath": "q", "channelName": "M"}}]})
     assert [tuple(r) for r in Rd.catalog(spark.createDataFrame([(j,)], "json string"), lang_code="hi").collect()] == [("p", "N", "hi", "i")]
-    s = spark.createDataFrame([("p", '{"streams":[{"url":"http://a"},{"url":"x"},{"url":"http://b"}]}'), ("q", '{"hasAccess":false,"streams":[{"url":"http://c"}]}')], "path string, json string")
-    assert [tuple(r) for r in Rd.stream_urls(s).collect()] == [("p", "http://a")]
+    s = spark.createDataFrame([("p", '{"response":{"streams":[{"url":"http://a"},{"url":"x"},{"url":"http://b"},{"url":"http://c"}]}}'), ("q", '{"response":{"streamStatus":{"hasAccess":false},"streams":[{"url":"http://c"}]}}')], "path string, json string")
+    assert sorted(tuple(r) for r in Rd.stream_urls(s).collect()) == [("p", "http://a", 0), ("p", "http://b", 1)]
 
 
 def test_data_source(spark):
