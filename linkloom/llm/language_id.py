@@ -13,6 +13,7 @@ work.  Long texts are read whole, in blocks.
 from __future__ import annotations
 
 import zlib
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
@@ -61,32 +62,51 @@ def scaled(flags: np.ndarray) -> np.ndarray:
     return x / np.sqrt(np.maximum(1.0, x.sum(1, keepdims=True)))
 
 
+def opened(bits: np.ndarray) -> np.ndarray:
+    return np.unpackbits(bits, axis=1).view(bool)
+
+
 class Kernel:
-    """Nystroem features and ridge weights."""
+    """Nystroem features and ridge weights.  Texts come and landmarks are kept as packed bits, and are opened a few at a time."""
 
-    def __init__(self, flags: np.ndarray, langs: np.ndarray, landmarks: int = LANDMARKS):
+    def __init__(self, bits: np.ndarray, langs: np.ndarray, landmarks: int = LANDMARKS):
         self.langs = np.unique(langs)
         landmarks = max(landmarks, len(self.langs))
         order = np.random.default_rng(5).permutation(len(langs))  # landmarks take turns over the languages
         turn = np.zeros(len(order))
         for c in self.langs:
             turn[langs[order] == c] = np.arange((langs == c).sum())
-        self.marks = scaled(flags[order[np.argsort(turn, kind="stable")][:landmarks]]).T.copy()
-        x = scaled(flags)
-        k = x @ self.marks
+        self.mark_bits = bits[order[np.argsort(turn, kind="stable")][:landmarks]]
+        of = np.searchsorted(self.langs, langs)
+        k, seen = [], np.zeros((len(self.langs), FEATURES), np.float32)
+        for i in range(0, len(bits), 256):
+            flags = opened(bits[i : i + 256])
+            k.append(scaled(flags) @ self.marks)
+            for c in np.unique(of[i : i + 256]).tolist():
+                seen[c] += flags[of[i : i + 256] == c].sum(0)
+        k, count = np.concatenate(k), np.bincount(of, minlength=len(self.langs))
         values, vectors = np.linalg.eigh((self.marks.T @ self.marks).astype(np.float64))
         keep = values > 1e-6 * values.max()
         root = vectors[:, keep] / np.sqrt(values[keep])
-        z = np.c_[k @ root, np.ones(len(x))]
+        z = np.c_[k @ root, np.ones(len(k))]
         y = np.where(langs[:, None] == self.langs, 1.0, -1.0)
-        w = np.sqrt(len(langs) / (len(self.langs) * (langs[:, None] == self.langs).sum(0)))[np.searchsorted(self.langs, langs)]
-        zw = z * (w**2)[:, None]
-        a = np.linalg.solve(zw.T @ z + RIDGE * len(x) * np.eye(z.shape[1]), zw.T @ y)
-        of = [flags[langs == c] for c in self.langs]
-        self.common = np.stack([x.mean(0) >= COMMON for x in of]).astype(np.float32)
-        self.judged = np.array([len(x) >= TEXTS for x in of])
+        zw = z * (len(langs) / (len(self.langs) * count))[of][:, None]
+        a = np.linalg.solve(zw.T @ z + RIDGE * len(k) * np.eye(z.shape[1]), zw.T @ y)
+        self.common_bits = np.packbits(seen >= COMMON * count[:, None], axis=1)
+        self.judged = count >= TEXTS
         self.weights, self.bias = (root @ a[:-1]).astype(np.float32), a[-1].astype(np.float32)
 
+    @cached_property
+    def marks(self) -> np.ndarray:
+        return scaled(opened(self.mark_bits)).T.copy()
+
+    @cached_property
+    def common(self) -> np.ndarray:
+        return opened(self.common_bits).astype(np.float32)
+
+    def __getstate__(self) -> dict:
+        return {k: v for k, v in self.__dict__.items() if k not in ("marks", "common")}
+
     def outputs(self, flags: np.ndarray) -> np.ndarray:
         """(n, languages): near 1 for the own language, -1 for others."""
         return (scaled(flags) @ self.marks) @ self.weights + self.bias
@@ -144,8 +164,7 @@ def fit(docs: DataFrame, train: Column, id_col: str, text_col: str, lang_col: st
     if not got:
         return None
     got.sort(key=lambda r: (r["lang"], bytes(r["bits"])))
-    flags = np.unpackbits(np.frombuffer(b"".join(bytes(r["bits"]) for r in got), np.uint8).reshape(len(got), -1), axis=1).astype(bool)
-    return Kernel(flags, np.array([r["lang"] for r in got]))
+    return Kernel(np.frombuffer(b"".join(bytes(r["bits"]) for r in got), np.uint8).reshape(len(got), -1), np.array([r["lang"] for r in got]))
 
 
 def identify(docs: DataFrame, model: Kernel | None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
