@@ -21,7 +21,7 @@ import math
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from linkloom.llm import common as C
@@ -31,7 +31,9 @@ SPACE = b" \t\n\x0b\x0c\r"
 SEGMENTS = ((0, 22), (22, 21), (43, 21))
 #: x^11 + x^10 + x^6 + x^5 + x^4 + x^2 + 1 generates the code.
 GENERATOR = 0b110001110101
-SMALL, WIDE = 24, 4096
+SMALL, WIDE, CACHE = 24, 4096, 500_000
+#: (place, bits) of the exact segments; fingerprints sampled to find hot keys.
+EXACT, SAMPLED = ((0, 13), (13, 13), (26, 13), (39, 13), (52, 12)), 200_000
 
 
 def _remainder(words: np.ndarray) -> np.ndarray:
@@ -102,7 +104,6 @@ def remixed(hashes: np.ndarray, seed: int) -> np.ndarray:
 
 def shingle_hashes(text: bytes, words: int) -> np.ndarray:
     """XXH64 (seed 42) of each shingle, repeats included; of the whole sequence if it has fewer words; none for no words."""
-    """Bit i is set if it is set in over half of the XXH64 (seed 42) of the shingles, repeats included."""
     w = text.lower().split()  # bytes: ASCII white space, A-Z only
     if not w:
         return np.zeros(0, np.uint64)
@@ -120,22 +121,27 @@ def fingerprint(text: bytes, words: int) -> int:
     return majority(shingle_hashes(text, words))
 
 
-def forest(prints: np.ndarray, near: int, checks: np.ndarray | None = None, near_check: int = 64) -> list[tuple[int, int]]:
+def forest(prints: np.ndarray, near: int) -> list[tuple[int, int]]:
     """Edges (row, row) of a spanning forest of the links among fingerprints."""
+    if len(prints) <= WIDE:
+        return _search(prints, near)
     out: list[tuple[int, int]] = []
-    if len(prints) > WIDE:
-        for at in (0, 13, 26, 39, 52):
-            part = (prints >> np.uint64(at)) & np.uint64(0x1FFF if at < 52 else 0xFFF)
-            order = np.argsort(part, kind="stable")
-            cuts = np.flatnonzero(np.diff(part[order])) + 1
-            for rows in np.split(order, cuts):
-                if len(rows) > 1:
-                    out += [(int(rows[a]), int(rows[b])) for a, b in _search(prints[rows], near, None if checks is None else checks[rows], near_check)]
-        return out
-    return _search(prints, near, checks, near_check)
-
-
-def _search(prints, near, checks, near_check):
+    for which in range(len(EXACT)):
+        part = exact_segment(prints, which)
+        order = np.argsort(part, kind="stable")
+        for rows in np.split(order, np.flatnonzero(np.diff(part[order])) + 1):
+            if len(rows) > 1:
+                out += [(int(rows[a]), int(rows[b])) for a, b in _search(prints[rows], near)]
+    return out
+
+
+def exact_segment(prints: np.ndarray, which: int) -> np.ndarray:
+    """One of the five segments of which 4 differing bits must leave one whole."""
+    at, n = EXACT[which]
+    return ((prints >> np.uint64(at)) & np.uint64((1 << n) - 1)).astype(np.int64)
+
+
+def _search(prints: np.ndarray, near: int) -> list[tuple[int, int]]:
     out = []
     left = np.arange(len(prints))
     while len(left) > 1:
@@ -143,8 +149,6 @@ def _search(prints, near, checks, near_check):
         while front and len(left):
             x = front.pop()
             hit = np.bitwise_count(prints[left] ^ prints[x]) <= near
-            if checks is not None:
-                hit &= np.bitwise_count(checks[left] ^ checks[x]) <= near_check
             if hit.any():
                 got = left[hit].tolist()
                 out += [(x, y) for y in got]
@@ -153,94 +157,89 @@ def _search(prints, near, checks, near_check):
     return out
 
 
-def least_forest(edges: np.ndarray, weight: np.ndarray) -> np.ndarray:
-    """The edges of a spanning forest of least weight (Kruskal): at any bound of the weight it joins what all edges join."""
-    ids, flat = np.unique(edges, return_inverse=True)
-    root, flat = list(range(len(ids))), flat.reshape(-1, 2)[np.argsort(weight, kind="stable")].tolist()
-    kept = []
-    for a, b in flat:
-        x, y = a, b
-        while root[x] != x:
-            root[x] = root[root[x]]
-            x = root[x]
-        while root[y] != y:
-            root[y] = root[root[y]]
-            y = root[y]
-        if x != y:
-            root[y] = x
-            kept.append((a, b))
-    return ids[np.array(kept, np.int64).reshape(-1, 2)]
-
-
-def _links(near: int, checks_near: tuple[int, ...]):
-    """Over partitions sorted by key: (a, b) ids of linked fingerprints that share a key.  A small bucket gives its pairs, a large
-    one a spanning forest for each bound of the check; what stays of a batch of buckets is its spanning forest of least check."""
-    near_check = max(checks_near)
-    names = ["a", "b"]
-
-    def pairs(key, ids, prints, checks):
-        found: list[np.ndarray] = []
+def _links(near: int):
+    """Over partitions sorted by key: (a, b) ids of linked fingerprints that share a key.  A small bucket gives its pairs, a large one
+    a spanning forest."""
+
+    def pairs(key, ids, prints):
+        found: list[np.ndarray] = [np.zeros((0, 2), np.int64)]
         cut = np.flatnonzero(np.r_[True, key[1:] != key[:-1]])
         sizes = np.diff(np.r_[cut, len(key)])
-        size = np.repeat(sizes, sizes)
-        small = size <= SMALL
-        for d in range(1, SMALL):
-            if d >= len(key):
-                break
+        small = np.repeat(sizes, sizes) <= SMALL
+        for d in range(1, min(SMALL, len(key))):
             at = np.flatnonzero((key[d:] == key[:-d]) & small[d:])
             if not len(at):
                 break
-            at = at[(np.bitwise_count(prints[at] ^ prints[at + d]) <= near) & (np.bitwise_count(checks[at] ^ checks[at + d]) <= near_check)]
+            at = at[np.bitwise_count(prints[at] ^ prints[at + d]) <= near]
             found.append(np.stack([at, at + d], 1))
-        for s, n in zip(cut.tolist(), sizes.tolist(), strict=True):
-            if n > SMALL:
-                own = slice(s, s + n)
-                for bound in checks_near:
-                    found.append(np.array(forest(prints[own], near, checks[own], bound), np.int64).reshape(-1, 2) + s)
-        at = np.concatenate(found) if found else np.zeros((0, 2), np.int64)
-        return least_forest(ids[at], np.bitwise_count(checks[at[:, 0]] ^ checks[at[:, 1]]))
+        for i in np.flatnonzero(sizes > SMALL).tolist():
+            found.append(np.array(forest(prints[cut[i] : cut[i] + sizes[i]], near), np.int64).reshape(-1, 2) + cut[i])
+        e = np.unique(np.sort(ids[np.concatenate(found)], 1), axis=0)
+        return pa.RecordBatch.from_arrays([pa.array(e[:, 0]), pa.array(e[:, 1])], ["a", "b"])
 
     def run(batches):
         held: list[list[np.ndarray]] = []
         rows = 0
         for b in batches:
-            held.append([C.longs(b, c) for c in ("key", "id", "print", "check")])
+            held.append([C.longs(b, c) for c in ("key", "id", "print")])
             rows += b.num_rows
             if rows >= 200_000:
-                key, ids, prints, checks = (np.concatenate(x) for x in zip(*held, strict=True))
+                key, ids, prints = (np.concatenate(x) for x in zip(*held, strict=True))
                 cut = int(np.searchsorted(key, key[-1]))  # the last key may go on
                 if cut:
-                    e = pairs(key[:cut], ids[:cut], prints[:cut].view(np.uint64), checks[:cut].view(np.uint64))
-                    yield pa.RecordBatch.from_arrays([pa.array(e[:, 0]), pa.array(e[:, 1])], names)
-                held, rows = [[key[cut:], ids[cut:], prints[cut:], checks[cut:]]], len(key) - cut
+                    yield pairs(key[:cut], ids[:cut], prints[:cut].view(np.uint64))
+                held, rows = [[key[cut:], ids[cut:], prints[cut:]]], len(key) - cut
         if rows:
-            key, ids, prints, checks = (np.concatenate(x) for x in zip(*held, strict=True))
-            e = pairs(key, ids, prints.view(np.uint64), checks.view(np.uint64))
-            yield pa.RecordBatch.from_arrays([pa.array(e[:, 0]), pa.array(e[:, 1])], names)
+            key, ids, prints = (np.concatenate(x) for x in zip(*held, strict=True))
+            yield pairs(key, ids, prints.view(np.uint64))
 
     return run
 
 
-def linked(nodes: DataFrame, prints: list[str], near: int = 4, checks_near: tuple[int, ...] = (64,)) -> DataFrame:
-    """nodes: id, the fingerprint columns, check -> edges (a, b) that join every pair whose print differs in at most `near` bits
-    in one of the columns and whose check differs in at most the largest of `checks_near`."""
-    n = C.partitions(nodes.sparkSession)
-    names = ["key", "id", "print", "check"]
+def _split_keys(keys: np.ndarray, prints: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(row, key) of keys that are cut further by each of the five exact segments."""
+    rows = np.tile(np.arange(len(keys)), len(EXACT))
+    cut = [(keys << 17) | (which << 14) | exact_segment(prints, which) | (1 << 62) for which in range(len(EXACT))]
+    return rows, np.concatenate(cut)
+
+
+def hot_keys(nodes: DataFrame) -> np.ndarray | None:
+    """Keys that more than WIDE fingerprints are likely to have, judged by a sample of them; None: take all keys for hot, as even
+    evenly spread fingerprints would fill them.  It only affects the work, never results."""
+    total = nodes.count()
+    if 30 * total / (3 << 24) > WIDE / 4:
+        return None
+    share = min(1.0, SAMPLED / max(1, total))
+
+    def run(batches):
+        for b in batches:
+            for at in range(0, b.num_rows, 4096):
+                yield pa.RecordBatch.from_arrays([pa.array(keys_of(C.longs(b.slice(at, 4096), "print").view(np.uint64))[1])], ["key"])
+
+    seen = nodes.select("print").sample(fraction=share, seed=5).mapInArrow(run, "key long").groupBy("key").count()
+    got = seen.where(F.col("count") >= max(16, WIDE * share / 2)).select("key").collect()  # at most 30 x SAMPLED / 16 keys
+    return np.sort(np.array([r["key"] for r in got], np.int64))
+
+
+def linked(nodes: DataFrame, near: int = 4) -> DataFrame:
+    """nodes: id, print (distinct fingerprints, at most some of them repeated) -> edges (a, b) that join every pair of at most 4
+    differing bits.  A hot key is cut by the five exact segments before it is dealt, so that it goes to many tasks."""
+    n, hot = C.partitions(nodes.sparkSession), hot_keys(nodes)
+    names = ["key", "id", "print"]
 
     def run(batches):
         for b in batches:
             for at in range(0, b.num_rows, 4096):
                 part = b.slice(at, 4096)
-                ids, check = C.longs(part, "id"), C.longs(part, "check")
-                for which, c in enumerate(prints):
-                    own = C.longs(part, c)
-                    rows, keys = keys_of(own.view(np.uint64))
-                    keys = keys | (which << 26)
-                    yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array(ids[rows]), pa.array(own[rows]), pa.array(check[rows])], names)
+                ids, own = C.longs(part, "id"), C.longs(part, "print")
+                rows, keys = keys_of(own.view(np.uint64))
+                wide = np.ones(len(keys), bool) if hot is None else C.among(keys, hot)
+                more, cut = _split_keys(keys[wide], own[rows[wide]].view(np.uint64))
+                rows, keys = np.r_[rows[~wide], rows[wide][more]], np.r_[keys[~wide], cut]
+                yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array(ids[rows]), pa.array(own[rows])], names)
 
-    keys = nodes.mapInArrow(run, "key long, id long, print long, check long")
-    dealt = keys.repartition(n, "key").sortWithinPartitions("key", "id")
-    return dealt.mapInArrow(_links(near, checks_near), "a long, b long")
+    dealt = nodes.select("id", "print").mapInArrow(run, "key long, id long, print long").repartition(n, "key").sortWithinPartitions("key", "id")
+    return dealt.mapInArrow(_links(near), "a long, b long")
 
 
 def fingerprints(docs: DataFrame, words: int = 4, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -259,8 +258,8 @@ def fingerprints(docs: DataFrame, words: int = 4, id_col: str = "doc_id", text_c
 def near_duplicates(docs: DataFrame, words: int = 4, near: int = 4, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, fingerprint (16 hex digits), component_id.  Copies share a fingerprint and are never compared."""
     fps = C.stored(fingerprints(docs, words, id_col, text_col), "prints")
-    nodes = fps.groupBy("fp").agg(F.min("doc_id").alias("low"))
-    edges = linked(nodes.select(F.col("fp").alias("id"), F.col("fp").alias("print"), F.lit(0).cast("long").alias("check")), ["print"], near)
+    nodes = C.stored(fps.groupBy("fp").agg(F.min("doc_id").alias("low")), "nodes")
+    edges = linked(nodes.select(F.col("fp").alias("id"), F.col("fp").alias("print")), near)
     roots = components(edges)
     # root null: a fingerprint that links to no other
     of = nodes.join(roots.withColumnRenamed("node", "fp"), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
@@ -280,8 +279,27 @@ def bits_apart(jaccard: float, bits: int, sigmas: float = 0.0) -> int:
     return int(bits * p + sigmas * math.sqrt(bits * p * (1 - p)))
 
 
-def shingle_set(text: bytes, words: int) -> np.ndarray:
-    return np.unique(shingle_hashes(text, words))
+class WordHashes(dict):
+    """Word -> 64-bit hash; forgets all when full, so its memory is bounded."""
+
+    def __missing__(self, word: bytes) -> int:
+        if len(self) >= CACHE:
+            self.clear()
+        self[word] = h = xxhash.xxh3_64_intdigest(word)
+        return h
+
+
+def shingle_set(text: bytes, words: int, cache: WordHashes) -> np.ndarray:
+    """Sorted distinct 64-bit hashes of the shingles; of the whole sequence if it has fewer words."""
+    w = text.lower().split()
+    if not w:
+        return np.zeros(0, np.uint64)
+    each, n = np.fromiter(map(cache.__getitem__, w), np.uint64, len(w)), min(words, len(w))
+    h = np.full(len(w) - n + 1, n, np.uint64)
+    for j in range(n):
+        h = (h ^ each[j : len(w) - n + 1 + j]) * np.uint64(0x9E3779B97F4A7C15)
+        h ^= h >> np.uint64(31)
+    return np.unique(h)
 
 
 def prefix_size(n: int, similarity: float) -> int:
@@ -295,19 +313,34 @@ def common_shingles(d: DataFrame, words: int) -> np.ndarray:
     total = d.count()
 
     def run(batches):
+        cache = WordHashes()
         for b in batches:
             data, off = C.text_bytes(b.column("text"))
             for i in range(b.num_rows):
-                yield pa.RecordBatch.from_arrays([pa.array(shingle_set(data[off[i] : off[i + 1]].tobytes(), words).view(np.int64))], ["h"])
+                yield pa.RecordBatch.from_arrays([pa.array(shingle_set(data[off[i] : off[i + 1]].tobytes(), words, cache).view(np.int64))], ["h"])
 
     few = d.select("text").sample(fraction=min(1.0, C.SAMPLE_DOCS / max(1, total)), seed=11).mapInArrow(run, "h long")
     got = few.groupBy("h").agg(F.count("*").alias("n")).where("n >= 3").orderBy(F.col("n").desc(), "h").limit(100_000).collect()
     return np.sort(np.array([r["h"] for r in got], np.int64).view(np.uint64))
 
 
+#: Sets of fewer shingles carry a bitmap of their hashes instead of a SimHash.
+FEW_SHINGLES = 64
+
+
+def checks(s: np.ndarray) -> list[int]:
+    """128 bits to tell unlike sets apart: two SimHashes, or for a small set the bits at its hashes modulo 128."""
+    if len(s) >= FEW_SHINGLES:
+        return [majority(s), majority(remixed(s, SEED))]
+    bits = np.zeros(128, bool)
+    bits[s & np.uint64(127)] = True
+    return [int(x) for x in np.packbits(bits, bitorder="little").view("<u8")]
+
+
 def _may_reach(similarity: float):
-    """Whether pairs of records of one shingle can be of the similarity: bounds by size and by the place of their first common
-    shingle, which are exact, and a 128-bit SimHash at four standard deviations, left out for small sets."""
+    """Whether pairs of records of one shingle can be of the similarity: bounds by size and by the place of their first common shingle;
+    for two small sets, bitmaps that differ in no more bits than the sets may differ in members; these are exact.  For two
+    others a 128-bit SimHash at four standard deviations."""
     apart, share = bits_apart(similarity, 128, 4.0), similarity / (1 + similarity)
 
     def test(x, y):
@@ -315,72 +348,129 @@ def _may_reach(similarity: float):
         low, high = np.minimum(n, m), np.maximum(n, m)
         ok = (low >= similarity * high - 1e-6) & (np.minimum(n - i, m - j) >= share * (n + m) - 1e-6)
         differ = np.bitwise_count(x[0] ^ y[0]).astype(np.int64) + np.bitwise_count(x[1] ^ y[1])
-        return ok & ((differ <= apart) | (low < 32))
+        most = np.where(high < FEW_SHINGLES, (1 - 2 * share) * (n + m) + 1e-6, apart)
+        return ok & ((differ <= most) | ((low < FEW_SHINGLES) & (high >= FEW_SHINGLES)))
 
     return test
 
 
+#: A large bucket's centre is its first member in one of eight orders, by the key, so that a document meets some twenty centres.
+ORDERS = np.random.default_rng(41).integers(-(2**63), 2**63, 8, dtype=np.int64)
+
+
 def _candidates(similarity: float):
-    """Over partitions sorted by key: kind 0: candidate pairs (a, b), all those of a small bucket, and those of a large one with one
-    of its members, which differs from key to key; kind 1: the records of large buckets, whose other pairs wait for the
-    components of these."""
+    """Over partitions sorted by (key, o), where o is the id in the key's order - kind 0: all candidate pairs (a, b) of small buckets; 2:
+    those of large ones with their first member a; 1: the records of large buckets, whose other pairs wait for the
+    components of these.  A bucket of any size is streamed; only its first member is kept."""
     may = _may_reach(similarity)
     names = ["kind", "a", "b", "key", "c0", "c1", "at"]
 
-    def bucket_rows(key, ids, c0, c1, at):
-        u = [c0.view(np.uint64), c1.view(np.uint64), at]
+    def rows(cols, carried: bool, goes_on: bool):
+        key, o, c0, c1, at = cols
+        ids, u = o ^ ORDERS[key & 7], [c0.view(np.uint64), c1.view(np.uint64), at]
         take = lambda rows: [c[rows] for c in u]
-        found = [np.zeros((0, 2), np.int64)]
         cut = np.flatnonzero(np.r_[True, key[1:] != key[:-1]])
         sizes = np.diff(np.r_[cut, len(key)])
-        size = np.repeat(sizes, sizes)
-        small = size <= SMALL
-        for d in range(1, SMALL):
-            if d >= len(key):
-                break
-            rows = np.flatnonzero((key[d:] == key[:-d]) & small[d:])
-            if not len(rows):
+        wide = sizes > SMALL
+        wide[0] |= carried
+        wide[-1] |= goes_on
+        small = ~np.repeat(wide, sizes)
+        found = [np.zeros((0, 2), np.int64)]
+        for d in range(1, min(SMALL, len(key))):
+            near = np.flatnonzero((key[d:] == key[:-d]) & small[d:])
+            if not len(near):
                 break
-            rows = rows[may(take(rows), take(rows + d))]
-            found.append(np.stack([ids[rows], ids[rows + d]], 1))
-        for s, n in zip(cut.tolist(), sizes.tolist(), strict=True):
-            if n > SMALL:
-                own = np.arange(s, s + n)
-                centre = s + int(remixed(ids[own].view(np.uint64), int(key[s]) & (2**64 - 1)).argmin())
-                hit = own[may(take(own), take(np.full(n, centre)))]
-                found.append(np.stack([ids[hit], np.full(len(hit), ids[centre])], 1))
+            near = near[may(take(near), take(near + d))]
+            found.append(np.stack([ids[near], ids[near + d]], 1))
         pairs = np.unique(np.sort(np.concatenate(found), 1), axis=0)
-        pairs = pairs[pairs[:, 0] != pairs[:, 1]]
         large = np.flatnonzero(~small)
-        none = np.zeros(len(pairs), np.int64)
-        cols = [np.r_[pairs[:, 0], ids[large]], np.r_[pairs[:, 1], ids[large]], *[np.r_[none, c[large]] for c in (key, c0, c1, at)]]
-        kind = np.r_[none, np.ones(len(large), np.int64)].astype(np.int32)
-        return pa.RecordBatch.from_arrays([pa.array(kind), *map(pa.array, cols)], names)
+        centre = np.repeat(cut, sizes)[large]
+        hit = may(take(large), take(centre)) & (ids[large] != ids[centre])
+        stars = np.unique(np.stack([ids[centre[hit]], ids[large[hit]]], 1), axis=0)
+        large = large[large > 0] if carried else large
+        none = np.zeros(len(pairs) + len(stars), np.int64)
+        ends = [np.r_[pairs[:, i], stars[:, i], ids[large]] for i in (0, 1)]
+        kind = np.repeat(np.array([0, 2, 1], np.int32), [len(pairs), len(stars), len(large)])
+        return pa.RecordBatch.from_arrays([pa.array(kind), *map(pa.array, ends), *[pa.array(np.r_[none, c[large]]) for c in (key, c0, c1, at)]], names)
 
     def run(batches):
         held: list[list[np.ndarray]] = []
-        rows = 0
+        first, n = None, 0  # the first member of a bucket of which a part is done
+
+        def done(cols, goes_on):
+            carried = first is not None and bool(cols[0][0] == first[0][0])
+            return rows([np.r_[f, c] for f, c in zip(first, cols, strict=True)] if carried else cols, carried, goes_on)
+
         for b in batches:
-            held.append([C.longs(b, c) for c in ("key", "id", "c0", "c1", "at")])
-            rows += b.num_rows
-            if rows >= 200_000:
+            held.append([C.longs(b, c) for c in ("key", "o", "c0", "c1", "at")])
+            n += b.num_rows
+            if n >= 200_000:
                 cols = [np.concatenate(x) for x in zip(*held, strict=True)]
                 cut = int(np.searchsorted(cols[0], cols[0][-1]))  # the last key may go on
                 if cut:
-                    yield bucket_rows(*[c[:cut] for c in cols])
-                held, rows = [[c[cut:] for c in cols]], len(cols[0]) - cut
-        if rows:
-            yield bucket_rows(*[np.concatenate(x) for x in zip(*held, strict=True)])
+                    yield done([c[:cut] for c in cols], False)
+                    first = None
+                if n - cut >= 200_000:
+                    rest = [c[cut:] for c in cols]
+                    yield done(rest, True)
+                    first = first if first is not None and first[0][0] == rest[0][0] else [c[:1] for c in rest]
+                    held, n = [], 0
+                else:
+                    held, n = [[c[cut:] for c in cols]], n - cut
+        if n:
+            yield done([np.concatenate(x) for x in zip(*held, strict=True)], False)
+
+    return run
+
+
+def _apart(similarity: float):
+    """Over blocks of large buckets, sorted by (key, block): pairs (a, b) of different roots, of two sides if the block has two, that
+    may be of the similarity."""
+    may = _may_reach(similarity)
+
+    def block(ids, root, c0, c1, at, side):
+        u = [c0.view(np.uint64), c1.view(np.uint64), at]
+        _, comp = np.unique(root, return_inverse=True)
+        found, two = [], bool(side.any()) and not bool(side.all())
+        rare = np.flatnonzero(comp != np.bincount(comp).argmax())  # of two members, one at least is of another root than most
+        for i in range(0, len(rare), 64):
+            x = rare[i : i + 64, None]
+            ok = (comp[x] != comp) & may([c[x] for c in u], u)
+            if two:
+                ok &= side[x] != side
+            p, q = np.nonzero(ok)
+            found.append(np.stack([ids[x[p, 0]], ids[q]], 1))
+        return np.unique(np.sort(np.concatenate(found), 1), axis=0) if found else np.zeros((0, 2), np.int64)
+
+    def run(batches):
+        now, held = None, []
+
+        def solved():
+            pairs = block(*[np.concatenate([C.longs(p, c) for p in held]) for c in ("id", "root", "c0", "c1", "at", "side")])
+            return pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], ["a", "b"])
+
+        for b in batches:
+            keys, blocks = C.longs(b, "key"), C.longs(b, "block")
+            cut = np.flatnonzero(np.r_[True, (keys[1:] != keys[:-1]) | (blocks[1:] != blocks[:-1])][: b.num_rows]).tolist()
+            for s, e in zip(cut, [*cut[1:], b.num_rows], strict=True) if cut else ():
+                mine = (int(keys[s]), int(blocks[s]))
+                if held and mine != now:
+                    yield solved()
+                    held = []
+                now = mine
+                held.append(b.slice(s, e - s))
+        if held:
+            yield solved()
 
     return run
 
 
 def _verified(similarity: float, words: int):
-    """Over rows sorted by root and kind - kind 0: the texts of a component of the candidates, 1: its pairs (a, b) -: those pairs of
-    the similarity that are not joined by earlier ones, a spanning forest of all that are."""
+    """Over rows sorted by group and kind - kind 0: the texts of a group, 1: its pairs (a, b) -: those pairs of the similarity that
+    are not joined by earlier ones, a spanning forest of all that are."""
 
     def run(batches):
-        now, sets, up = None, {}, {}
+        now, sets, up, cache = None, {}, {}, WordHashes()
 
         def find(x):
             while up.setdefault(x, x) != x:
@@ -389,16 +479,16 @@ def _verified(similarity: float, words: int):
 
         for b in batches:
             out = []
-            for root, a, z, text in zip(*(b.column(c).to_pylist() for c in ("root", "a", "b", "text")), strict=True):
-                if root != now:
-                    now, sets, up = root, {}, {}
+            for g, a, z, text in zip(*(b.column(c).to_pylist() for c in ("g", "a", "b", "text")), strict=True):
+                if g != now:
+                    now, sets, up = g, {}, {}
                 if text is not None:
                     if a not in sets:  # a document given twice
-                        sets[a] = shingle_set(text.encode("utf-8", "surrogatepass"), words)
+                        sets[a] = shingle_set(text.encode("utf-8", "surrogatepass"), words, cache)
                 elif (i := find(a)) != (j := find(z)):
                     s, t = sets[a], sets[z]
                     low, high = sorted((len(s), len(t)))
-                    both = len(np.intersect1d(s, t, assume_unique=True)) if low >= similarity * high - 1e-9 else 0
+                    both = int(C.among(s, t).sum()) if low >= similarity * high - 1e-9 else 0
                     if both >= similarity * (low + high - both) - 1e-9:
                         up[i] = j
                         out.append((a, z))
@@ -408,130 +498,124 @@ def _verified(similarity: float, words: int):
     return run
 
 
-def _across(similarity: float):
-    """Over records of large buckets sorted by key, with their root and shingle set: (a, b) of members of different roots that are
-    of the similarity, one pair for each two roots that meet."""
-    may = _may_reach(similarity)
-
-    def bucket(ids, root, c0, c1, at, sets):
-        u = [c0.view(np.uint64), c1.view(np.uint64), at]
-        own = [np.frombuffer(s, np.uint64) for s in sets]
-        n = np.array([len(s) for s in own])
-        ends = np.cumsum(n)
-        values, flat = np.unique(np.concatenate(own), return_inverse=True)
-        members = [flat[e - k : e] for e, k in zip(ends.tolist(), n.tolist(), strict=True)]
-        _, comp = np.unique(root, return_inverse=True)
-        marks, out = np.zeros(len(values), np.int64), []
-        for x in np.flatnonzero(comp != np.bincount(comp).argmax()).tolist():
-            other = np.flatnonzero(comp != comp[x])
-            other = other[may([c[other] for c in u], [c[x : x + 1] for c in u])]
-            if not len(other):
-                continue
-            marks[members[x]] = 1
-            both = np.add.reduceat(marks[np.concatenate([members[y] for y in other.tolist()])], np.r_[0, np.cumsum(n[other])[:-1]])
-            marks[members[x]] = 0
-            for y in other[both >= similarity * (n[x] + n[other] - both) - 1e-9].tolist():
-                if comp[y] != comp[x]:
-                    out.append((int(ids[x]), int(ids[y])))
-                    comp[comp == comp[y]] = comp[x]
-        return out
-
-    def run(batches):
-        key, held = None, []
-        for b in _and_end(batches):
-            cut = [0] if b is None else np.flatnonzero(np.r_[True, np.diff(C.longs(b, "key")) != 0]).tolist()
-            for s, e in zip(cut, [*cut[1:], 0 if b is None else b.num_rows], strict=True):
-                now = None if b is None else b.column("key")[s].as_py()
-                if held and now != key:
-                    cols = [np.concatenate([C.longs(p, c) for p in held]) for c in ("id", "root", "c0", "c1", "at")]
-                    pairs = np.array(bucket(*cols, [v for p in held for v in p.column("set").to_pylist()]), np.int64).reshape(-1, 2)
-                    yield pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], ["a", "b"])
-                    held = []
-                if b is not None:
-                    key, held = now, [*held, b.slice(s, e - s)]
-
-    return run
-
-
-def _and_end(batches):
-    """The batches that have rows, and then None."""
-    yield from (b for b in batches if b.num_rows)
-    yield None
+#: Members of a large bucket that one task compares with as many others; shingles whose sets one task holds to verify pairs.
+BLOCK, GROUP = 4096, 250_000
+#: First members of large buckets that a document is compared with in the first round; the second one compares all that are still apart.
+CENTRES = 4
+
+
+class _Sets:
+    """The distinct shingle sets of documents, and the verification of candidate pairs of them."""
+
+    def __init__(self, d: DataFrame, words: int, similarity: float):
+        self.d, self.words, self.similarity, self.n = d, words, similarity, C.partitions(d.sparkSession)
+        hot = common_shingles(d, words)
+
+        def prints(batches):
+            cache = WordHashes()
+            for b in batches:
+                data, off = C.text_bytes(b.column("text"))
+                ids, at, first = np.zeros(b.num_rows, np.uint64), np.zeros((3, b.num_rows), np.int64), []
+                for i in range(b.num_rows):
+                    s = shingle_set(data[off[i] : off[i + 1]].tobytes(), words, cache)
+                    late = C.among(s, hot)
+                    ids[i] = xxhash.xxh3_64_intdigest(s.tobytes())
+                    at[:, i] = len(s), *np.array(checks(s), np.uint64).view(np.int64)
+                    first.append(np.concatenate([s[~late], s[late]])[: prefix_size(len(s), similarity)].tobytes())
+                yield pa.RecordBatch.from_arrays([b.column("doc"), b.column("th"), pa.array(ids.view(np.int64)), *map(pa.array, at), pa.array(first, pa.binary())], ["doc", "th", "id", "n", "c0", "c1", "first"])
+
+        self.keys = C.stored(d.mapInArrow(prints, "doc long, th long, id long, n long, c0 long, c1 long, first binary"), "prints")
+        self.nodes = C.stored(self.keys.groupBy("id").agg(F.min(F.struct("doc", "th", "n", "c0", "c1", "first")).alias("x")).select("id", "x.*"), "nodes")
+
+    def postings(self) -> DataFrame:
+        """key (a shingle of the prefix), o, c0, c1, at (size and place), in order."""
+
+        def deal(batches):
+            for b in batches:
+                for i in range(0, b.num_rows, 2048):
+                    part = b.slice(i, 2048)
+                    data, off = C.text_bytes(part.column("first"))
+                    count = np.diff(off) // 8
+                    own = np.repeat(np.arange(len(count)), count)
+                    place = np.arange(len(own)) - np.repeat(np.cumsum(count) - count, count)
+                    ids, size, c0, c1 = (C.longs(part, c)[own] for c in ("id", "n", "c0", "c1"))
+                    key = np.frombuffer(data[off[0] : off[-1]].tobytes(), np.int64)
+                    yield pa.RecordBatch.from_arrays([*map(pa.array, (key, ids ^ ORDERS[key & 7], c0, c1, (size << 32) | place))], ["key", "o", "c0", "c1", "at"])
+
+        rows = self.nodes.select("id", "n", "c0", "c1", "first").mapInArrow(deal, "key long, o long, c0 long, c1 long, at long")
+        return rows.repartition(self.n, "key").sortWithinPartitions("key", "o")
+
+    def check(self, asked: DataFrame) -> DataFrame:
+        """asked: g, a, b -> links (a, b).  Each text goes once to each group that asks for it."""
+        need = asked.select("g", F.col("a").alias("id")).unionByName(asked.select("g", F.col("b").alias("id"))).distinct()
+        own = need.join(self.nodes.select("id", "doc", "th"), "id")
+        few = need.count() <= 100_000  # rows of five numbers
+        text = self.d.join(F.broadcast(own) if few else own, ["doc", "th"])
+        members = text.select("g", F.lit(0).alias("kind"), F.col("id").alias("a"), F.lit(0).cast("long").alias("b"), "text")
+        both = members.unionByName(asked.select("g", F.lit(1).alias("kind"), "a", "b", F.lit(None).cast("string").alias("text")))
+        dealt = both.repartition(self.n, "g").sortWithinPartitions("g", "kind", "a", "b")
+        return C.stored(dealt.mapInArrow(_verified(self.similarity, self.words), "a long, b long"), "links")
+
+    def stars(self, pairs: DataFrame) -> DataFrame:
+        """Groups of bounded size: pairs of one a, cut by b."""
+        load = pairs.join(self.nodes.select(F.col("id").alias("b"), "n"), "b").groupBy("a").agg(F.ceil(F.sum("n") / GROUP).alias("cuts"))
+        return pairs.join(load, "a").select(F.xxhash64("a", F.pmod(F.xxhash64("b"), F.col("cuts"))).alias("g"), "a", "b")
+
+    def links(self, pairs: DataFrame) -> DataFrame:
+        """The links (a, b) among candidate pairs, a spanning forest of them.  A task verifies all pairs of one component of
+        candidates; a component of over GROUP shingles goes by stars, first with one pair a document, then with those of
+        documents that are still apart."""
+        near = components(pairs)
+        asked = pairs.join(near.withColumnRenamed("node", "a"), "a")
+        load = near.join(self.nodes.select(F.col("id").alias("node"), "n"), "node").groupBy("root").agg(F.sum("n").alias("n"))
+        heavy = C.stored(load.where(F.col("n") > GROUP).select("root"), "heavy")
+        if heavy.isEmpty():
+            return self.check(asked.select(F.col("root").alias("g"), "a", "b"))
+        wide = asked.join(heavy, "root", "left_semi").select("a", "b")
+        some = wide.groupBy("b").agg(F.min("a").alias("a")).select("a", "b")
+        plain = asked.join(heavy, "root", "left_anti").select(F.col("root").alias("g"), "a", "b")
+        out = self.check(plain.unionByName(self.stars(some)))
+        return out.unionByName(self.check(self.stars(still_apart(wide, components(out)))))
+
+
+def still_apart(pairs: DataFrame, roots: DataFrame) -> DataFrame:
+    """Pairs (a, b) whose ends have different roots."""
+    one = pairs.join(roots.select(F.col("node").alias("a"), F.col("root").alias("ra")), "a", "left")
+    two = one.join(roots.select(F.col("node").alias("b"), F.col("root").alias("rb")), "b", "left")
+    return two.where(F.coalesce("ra", "a") != F.coalesce("rb", "b")).select("a", "b")
 
 
 def similar_classes(docs: DataFrame, words: int = 5, similarity: float = 0.8, id_col: str = "doc_id", text_col: str = "text") -> tuple[DataFrame, DataFrame]:
     """(doc, th, id) of every document and (id, root) of every distinct shingle set: the connected components of all pairs of
     documents whose sets of five-word shingles (a text of fewer words is one) have that Jaccard similarity.
 
-    Pairs come from a prefix join: in an order of all shingles, by hash and the common ones last, two such sets share one of
-    their first fifth.  Every link is verified on the whole sets before components are taken.  Large buckets take two rounds, so that
-    a large class needs no comparison of all its pairs: first those with one member, then those of members that are still apart.
+    Pairs come from the Golay keys of the sets' SimHashes, and, for those more than 4 bits apart, from a prefix join: in an order of
+    all shingles, by hash and the common ones last, two such sets share one of their first fifth.  Every link is verified on
+    the whole sets before components are taken.  Large buckets take two rounds, so that a large class needs no comparison of
+    all its pairs: first those with one member, then those of members that are still apart, in blocks.
     """
-    d = C.keyed(docs, id_col, text_col).select("doc", "th", "text")
-    n, hot = C.partitions(d.sparkSession), common_shingles(d, words)
-
-    def prints(batches):
-        for b in batches:
-            data, off = C.text_bytes(b.column("text"))
-            ids, at, first = np.zeros(b.num_rows, np.uint64), np.zeros((3, b.num_rows), np.int64), []
-            for i in range(b.num_rows):
-                s = shingle_set(data[off[i] : off[i + 1]].tobytes(), words)
-                late = np.isin(s, hot, assume_unique=True)
-                ids[i] = xxhash.xxh3_64_intdigest(s.tobytes())
-                at[:, i] = len(s), *np.array([majority(s), majority(remixed(s, SEED))], np.uint64).view(np.int64)
-                first.append(np.concatenate([s[~late], s[late]])[: prefix_size(len(s), similarity)].tobytes())
-            yield pa.RecordBatch.from_arrays([b.column("doc"), b.column("th"), pa.array(ids.view(np.int64)), *map(pa.array, at), pa.array(first, pa.binary())], ["doc", "th", "id", "n", "c0", "c1", "first"])
-
-    keys = C.stored(d.mapInArrow(prints, "doc long, th long, id long, n long, c0 long, c1 long, first binary"), "prints")
-    nodes = C.stored(keys.groupBy("id").agg(F.min(F.struct("doc", "th", "n", "c0", "c1", "first")).alias("x")).select("id", "x.*"), "nodes")
-
-    def deal(batches):
-        for b in batches:
-            for i in range(0, b.num_rows, 2048):
-                part = b.slice(i, 2048)
-                data, off = C.text_bytes(part.column("first"))
-                count = np.diff(off) // 8
-                own = np.repeat(np.arange(len(count)), count)
-                place = np.arange(len(own)) - np.repeat(np.cumsum(count) - count, count)
-                ids, size, c0, c1 = (C.longs(part, c)[own] for c in ("id", "n", "c0", "c1"))
-                key = np.frombuffer(data[off[0] : off[-1]].tobytes(), np.int64)
-                yield pa.RecordBatch.from_arrays([*map(pa.array, (key, ids, c0, c1, (size << 32) | place))], ["key", "id", "c0", "c1", "at"])
-
-    dealt = nodes.select("id", "n", "c0", "c1", "first").mapInArrow(deal, "key long, id long, c0 long, c1 long, at long").repartition(n, "key").sortWithinPartitions("key", "id")
-    found = C.stored(dealt.mapInArrow(_candidates(similarity), "kind int, a long, b long, key long, c0 long, c1 long, at long"), "candidates")
-
-    def whole(batches):
-        for b in batches:
-            data, off = C.text_bytes(b.column("text"))
-            out = [shingle_set(data[off[i] : off[i + 1]].tobytes(), words).tobytes() for i in range(b.num_rows)]
-            yield pa.RecordBatch.from_arrays([b.column("id"), pa.array(out, pa.binary())], ["id", "set"])
-
-    pairs, large = found.where("kind = 0").select("a", "b").distinct(), found.where("kind = 1").select(F.col("a").alias("id"), "key", "c0", "c1", "at")
-
-    def texts(ids):
-        """Their texts, and the columns of ids."""
-        own = ids.join(nodes.select("id", "doc", "th"), "id")
-        few = ids.count() <= 300_000
-        return d.join(F.broadcast(own) if few else own, ["doc", "th"])
-
-    pairs = C.stored(pairs, "pairs")
-    # each text goes once to the task that verifies all pairs of its component of candidates
-    near = components(pairs)
-    members = texts(near.withColumnRenamed("node", "id")).select("root", F.lit(0).alias("kind"), F.col("id").alias("a"), F.lit(0).cast("long").alias("b"), "text")
-    asked = pairs.join(near.withColumnRenamed("node", "a"), "a").select("root", F.lit(1).alias("kind"), "a", "b", F.lit(None).cast("string").alias("text"))
-    grouped = members.unionByName(asked).repartition(n, "root").sortWithinPartitions("root", "kind", "a", "b")
-    edges = C.stored(grouped.mapInArrow(_verified(similarity, words), "a long, b long"), "links")
+    s = _Sets(C.keyed(docs, id_col, text_col).select("doc", "th", "text"), words, similarity)
+    by_print = linked(s.nodes.where(F.col("n") >= FEW_SHINGLES).select("id", F.col("c0").alias("print")))
+    found = C.stored(s.postings().mapInArrow(_candidates(similarity), "kind int, a long, b long, key long, c0 long, c1 long, at long"), "candidates")
+    some = Window.partitionBy("b").orderBy(F.xxhash64("a"), "a")
+    stars = found.where("kind = 2").select("a", "b").distinct().withColumn("r", F.row_number().over(some)).where(F.col("r") <= CENTRES)
+    pairs = found.where("kind = 0").select("a", "b").unionByName(by_print).unionByName(stars.select("a", "b"))
+    edges = s.links(C.stored(pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "pairs"))
     roots = components(edges)
+    large = found.where("kind = 1").select(F.col("a").alias("id"), "key", "c0", "c1", "at")
     if not large.isEmpty():
         rooted = large.join(roots.withColumnRenamed("node", "id"), "id", "left").withColumn("root", F.coalesce("root", "id"))
-        open_ = rooted.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo < hi").select("key")
-        rooted = C.stored(rooted.join(open_, "key", "left_semi"), "large")
-        sets = texts(rooted.select("id").distinct()).select("id", "text").dropDuplicates(["id"]).mapInArrow(whole, "id long, set binary")
-        apart = rooted.join(sets, "id").select("key", "id", "root", "c0", "c1", "at", "set")
-        more = apart.repartition(n, "key").sortWithinPartitions("key", "id").mapInArrow(_across(similarity), "a long, b long")
-        roots = components(edges.unionByName(C.stored(more, "links")))
-    of = nodes.select("id").join(roots.withColumnRenamed("node", "id"), "id", "left").select("id", F.coalesce("root", "id").alias("root"))
-    return keys.select("doc", "th", "id"), of
+        open_ = rooted.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi"), F.ceil(F.count("*") / BLOCK).cast("int").alias("m")).where("lo < hi").select("key", "m")
+        cut = rooted.join(open_, "key").withColumn("sub", F.pmod(F.xxhash64("id"), F.col("m")).cast("int"))
+        cut = cut.withColumn("with", F.explode(F.sequence(F.lit(0), F.col("m") - 1)))
+        block = (F.least("sub", "with") * F.col("m") + F.greatest("sub", "with")).cast("long")
+        cut = cut.select("key", block.alias("block"), "id", "root", "c0", "c1", "at", (F.col("sub") > F.col("with")).cast("long").alias("side"))
+        more = cut.repartition(s.n, "key", "block").sortWithinPartitions("key", "block").mapInArrow(_apart(similarity), "a long, b long")
+        more = C.stored(more.distinct(), "pairs")
+        if not more.isEmpty():
+            roots = components(edges.unionByName(s.links(more)))
+    of = s.nodes.select("id").join(roots.withColumnRenamed("node", "id"), "id", "left").select("id", F.coalesce("root", "id").alias("root"))
+    return s.keys.select("doc", "th", "id"), of
 
 
 def similar_documents(docs: DataFrame, words: int = 5, similarity: float = 0.8) -> DataFrame:

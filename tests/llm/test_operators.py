@@ -334,7 +334,7 @@ def vectors(spark, data):
     return spark.createDataFrame([(*r, 0.5, "c") for r in data], "vec_id long, embedding array<float>, theta double, cell string")
 
 
-@pytest.mark.parametrize(("pivots", "block"), [(64, 20_000), (5, 40), (1, 7)])
+@pytest.mark.parametrize(("pivots", "block"), [(None, 20_000), (5, 40), (1, 7)])
 def test_topk(spark, pivots, block):
     rng = np.random.default_rng(8)
     data = [(i, rng.normal(size=6).astype(np.float32).tolist()) for i in range(300)]
@@ -346,6 +346,23 @@ def test_topk(spark, pivots, block):
     assert voronoi_knn.top_k(vectors(spark, [])).count() == 0
 
 
+def test_topk_of_clustered_vectors_visits_few_cells():
+    """The share of (query, cell) pairs that are visited, given the exact k-th scores, and that no cell of a result is left out."""
+    rng = np.random.default_rng(14)
+    centres = rng.normal(size=(40, 32)) * 4
+    v = np.floor(256 * (centres[rng.integers(0, 40, 4000)] + 0.2 * rng.normal(size=(4000, 32)))).astype(np.int64)
+    cells = voronoi_knn.Cells({32: np.unique(v[rng.permutation(4000)[:64]].astype(float), axis=0)})
+    cell, far, norm, angle = cells.nearest(v)
+    at = [np.flatnonzero(cell == c) for c in range(len(cells.at(32)))]
+    cells.summary([{"dim": 32, "cell": c, "n": len(i), "r": far[i].max(), "big": norm[i].max(), "low": norm[i].min(), "angle": angle[i].max()} for c, i in enumerate(at) if len(i)], 100)
+    score = v[::50] @ v.T
+    kth = np.sort(score, 1)[:, -6].astype(float)
+    need, _ = cells.needed(v[::50], kth, 5)
+    assert need.mean() < 0.3
+    best = np.argsort(-score, 1)[:, :5]
+    assert all(need[i, cell[j]] for i in range(len(best)) for j in best[i])
+
+
 def test_pick_takes_exact_names_and_positions(spark):
     df = spark.createDataFrame([(1, 2, 3)], "`Text` int, `text` int, `x.y` int")
     assert [tuple(r) for r in common.pick(df, t="text", z="x.y").collect()] == [(2, 3)]
@@ -398,7 +415,11 @@ def test_near_dedup_finds_block_edits_and_only_similar_texts(spark):
     assert kept == {*range(60), *(1000 + i for i, j in near.items() if j < 0.8)}
 
 
-def test_near_dedup_of_a_large_group_joins_what_all_pairs_join(spark):
+@pytest.mark.parametrize("small", [False, True])
+def test_near_dedup_of_a_large_group_joins_what_all_pairs_join(spark, monkeypatch, small):
+    if small:  # groups and blocks of a few documents
+        monkeypatch.setattr(simhash_dedup, "GROUP", 3000)
+        monkeypatch.setattr(simhash_dedup, "BLOCK", 16)
     rng = random.Random(13)
     base = [f"w{rng.randrange(3000)}" for _ in range(120)]
     data = []
@@ -497,3 +518,52 @@ def test_text_of_no_learned_language_goes_and_clean_text_stays(spark, langs):
     bad = own.limit(1).select(*[F.col(c) for c in own.columns if c not in ("text", "doc_id")]).crossJoin(spark.createDataFrame([(-1 - i, t) for i, t in enumerate(odd)], "doc_id long, text string")).select(*own.columns).withColumn("lang", F.lit(None).cast("string"))
     kept = {r["doc_id"] for r in language_id.keep_known(own.unionByName(bad)).select("doc_id").collect()}
     assert not {-1, -2, -3, -4, -5} & kept and kept == {r["doc_id"] for r in own.where(F.col("text").rlike("\\p{L}")).select("doc_id").collect()}
+
+
+def test_candidates_of_a_bucket_of_any_size_are_streamed():
+    """A bucket over many batches: every member meets the first one, and all its records are kept for the second round."""
+    import pyarrow as pa
+
+    rng = np.random.default_rng(2)
+    n = 450_000
+    key = np.r_[np.full(3, 5), np.full(n, 7), np.full(2, 9)].astype(np.int64)
+    ids = rng.permutation(len(key)).astype(np.int64)
+    o = ids ^ simhash_dedup.ORDERS[key & 7]
+    order = np.lexsort((o, key))
+    cols = [key[order], o[order], np.zeros(len(key), np.int64), np.zeros(len(key), np.int64), np.full(len(key), 40 << 32)]
+    batches = [pa.RecordBatch.from_arrays([pa.array(c[i : i + 10_000]) for c in cols], ["key", "o", "c0", "c1", "at"]) for i in range(0, len(key), 10_000)]
+    out = list(simhash_dedup._candidates(0.8)(batches))
+    kind, a, b, k = (np.concatenate([x.column(c).to_numpy() for x in out]) for c in ("kind", "a", "b", "key"))
+    first = ids[order][3]
+    assert (kind == 0).sum() == 4 and set(a[kind == 2]) == {first} and set(b[kind == 2]) == set(ids[key == 7]) - {first}
+    assert sorted(a[kind == 1]) == sorted(ids[key == 7]) and (k[kind == 1] == 7).all()
+
+
+_ALPHABETS = {"letters and digits": "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789", "base64": "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/", "lower and digits": "abcdefghijklmnopqrstuvwxyz0123456789", "upper hexadecimal": "0123456789ABCDEF", "digits and hyphens": "0123456789", "hexadecimal and hyphens": "0123456789abcdef"}
+
+
+@pytest.mark.parametrize("kind", sorted(_ALPHABETS))
+def test_novel_secrets_are_found_by_kind_and_length(kind):
+    rng, tool, found = random.Random(kind), secrets.Novelty(), []
+    for n in (20, 32, 64, 128, 700):
+        for form in ("Authorization: Bearer {}", "the client secret is {} and expires", "private key:\n{}\n", "use access_key {} for the service"):
+            for _ in range(5):
+                x = "".join(rng.choice(_ALPHABETS[kind]) for _ in range(n))
+                x = "-".join(x[i : i + 8] for i in range(0, n, 8)) if "hyphens" in kind else x
+                t = form.format(x)
+                base = secrets.base_spans(t)
+                found.append(any(x in t[s:e] for s, _, e in base + secrets.novel_spans(t, base, 0.85, tool)) or any(base))
+    assert np.mean(found) >= 0.95
+
+
+def test_identifiers_that_the_corpus_knows_are_not_novel(spark):
+    """Identifiers near sensitive words, made of parts that ten other documents have."""
+    parts = "kubernetes ingress namespace woocommerce checkout gateway fasterxml jackson databind mapper terraform module".split()
+    rng = random.Random(5)
+    name = lambda: "_".join(rng.sample(parts, 4))
+    data = [(i, f"token {name()} and {name()}", None, None) for i in range(60)]
+    learned = secrets.learned_words(common.keyed(frame(spark, data)))
+    assert set(parts) <= set(learned)
+    spans = lambda words: sum(bool(secrets.novel_spans(t, [], 0.85, secrets.Novelty(words))) for _, t, *_ in data)
+    assert spans(learned) <= 15 and spans(()) >= 30
+    assert secrets.learned_words(common.keyed(empty(spark))) == ()
