@@ -547,7 +547,7 @@ class _Sets:
 
     def check(self, asked: DataFrame) -> DataFrame:
         """asked: g, a, b -> links (a, b).  Each text goes once to each group that asks for it."""
-        need = asked.select("g", F.col("a").alias("id")).unionByName(asked.select("g", F.col("b").alias("id"))).distinct()
+        need = C.stored(asked.select("g", F.col("a").alias("id")).unionByName(asked.select("g", F.col("b").alias("id"))).distinct(), "need")
         own = need.join(self.nodes.select("id", "doc", "th"), "id")
         few = need.count() <= 100_000  # rows of five numbers
         text = self.d.join(F.broadcast(own) if few else own, ["doc", "th"])
@@ -566,7 +566,7 @@ class _Sets:
         candidates; a component of over GROUP shingles goes by stars, first with one pair a document, then with those of
         documents that are still apart."""
         near = components(pairs)
-        asked = pairs.join(near.withColumnRenamed("node", "a"), "a")
+        asked = C.stored(pairs.join(near.withColumnRenamed("node", "a"), "a"), "asked")  # read several times
         load = near.join(self.nodes.select(F.col("id").alias("node"), "n"), "node").groupBy("root").agg(F.sum("n").alias("n"))
         heavy = C.stored(load.where(F.col("n") > GROUP).select("root"), "heavy")
         if heavy.isEmpty():
