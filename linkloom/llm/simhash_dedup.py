@@ -557,9 +557,10 @@ class _Sets:
         return C.stored(dealt.mapInArrow(_verified(self.similarity, self.words), "a long, b long"), "links")
 
     def stars(self, pairs: DataFrame) -> DataFrame:
-        """Groups of bounded size: pairs of one a, cut by b."""
+        """Groups of bounded size: pairs of one a, cut by b.  Pairs and groups are read several times."""
+        pairs = C.stored(pairs, "wide")
         load = pairs.join(self.nodes.select(F.col("id").alias("b"), "n"), "b").groupBy("a").agg(F.ceil(F.sum("n") / GROUP).alias("cuts"))
-        return pairs.join(load, "a").select(F.xxhash64("a", F.pmod(F.xxhash64("b"), F.col("cuts"))).alias("g"), "a", "b")
+        return C.stored(pairs.join(load, "a").select(F.xxhash64("a", F.pmod(F.xxhash64("b"), F.col("cuts"))).alias("g"), "a", "b"), "stars")
 
     def links(self, pairs: DataFrame) -> DataFrame:
         """The links (a, b) among candidate pairs, a spanning forest of them.  A task verifies all pairs of one component of
@@ -571,7 +572,7 @@ class _Sets:
         heavy = C.stored(load.where(F.col("n") > GROUP).select("root"), "heavy")
         if heavy.isEmpty():
             return self.check(asked.select(F.col("root").alias("g"), "a", "b"))
-        wide = asked.join(heavy, "root", "left_semi").select("a", "b")
+        wide = C.stored(asked.join(heavy, "root", "left_semi").select("a", "b"), "wide")
         some = wide.groupBy("b").agg(F.min("a").alias("a")).select("a", "b")
         plain = asked.join(heavy, "root", "left_anti").select(F.col("root").alias("g"), "a", "b")
         out = self.check(plain.unionByName(self.stars(some)))
