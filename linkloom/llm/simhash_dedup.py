@@ -423,12 +423,32 @@ def _candidates(similarity: float):
     return run
 
 
+#: Shingles just before its own that a record of a block carries.
+BEFORE = 8
+
+
+def _earlier(columns: list[pa.Array]) -> np.ndarray:
+    """The shingles of each record's `before`, one row of BEFORE and whether there is one, as a structured array."""
+    out = np.zeros((sum(map(len, columns)), BEFORE), [("h", np.int64), ("is", bool)])
+    at = 0
+    for c in columns:
+        data, off = C.text_bytes(c)
+        count = np.diff(off) // 8
+        own = np.repeat(np.arange(len(count)), count)
+        place = np.arange(len(own)) - np.repeat(np.cumsum(count) - count, count)
+        out["h"][at + own, place] = np.frombuffer(data[off[0] : off[-1]].tobytes(), np.int64)
+        out["is"][at + own, place] = True
+        at += len(c)
+    return out
+
+
 def _apart(similarity: float):
     """Over blocks of large buckets, sorted by (key, block): pairs (a, b) of different roots, of two sides if the block has two, that
-    may be of the similarity."""
+    may be of the similarity.  A pair that shares one of the shingles just before this bucket's is left to that one's bucket: both
+    records come earlier there, so their bounds are no tighter, and the first bucket of a pair always gives it."""
     may = _may_reach(similarity)
 
-    def block(ids, root, c0, c1, at, side):
+    def block(before, ids, root, c0, c1, at, side):
         u = [c0.view(np.uint64), c1.view(np.uint64), at]
         _, comp = np.unique(root, return_inverse=True)
         found, two = [], bool(side.any()) and not bool(side.all())
@@ -439,14 +459,18 @@ def _apart(similarity: float):
             if two:
                 ok &= side[x] != side
             p, q = np.nonzero(ok)
-            found.append(np.stack([ids[x[p, 0]], ids[q]], 1))
+            p = x[p, 0]
+            for j in range(0, len(p), 4096):
+                f, t = before[p[j : j + 4096], :, None], before[q[j : j + 4096], None, :]
+                new = ~((f["h"] == t["h"]) & f["is"] & t["is"]).any((1, 2))
+                found.append(np.stack([ids[p[j : j + 4096][new]], ids[q[j : j + 4096][new]]], 1))
         return np.unique(np.sort(np.concatenate(found), 1), axis=0) if found else np.zeros((0, 2), np.int64)
 
     def run(batches):
         now, held = None, []
 
         def solved():
-            pairs = block(*[np.concatenate([C.longs(p, c) for p in held]) for c in ("id", "root", "c0", "c1", "at", "side")])
+            pairs = block(_earlier([p.column("before") for p in held]), *[np.concatenate([C.longs(p, c) for p in held]) for c in ("id", "root", "c0", "c1", "at", "side")])
             return pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], ["a", "b"])
 
         for b in batches:
@@ -605,12 +629,16 @@ def similar_classes(docs: DataFrame, words: int = 5, similarity: float = 0.8, id
     roots = components(edges)
     large = found.where("kind = 1").select(F.col("a").alias("id"), "key", "c0", "c1", "at")
     if not large.isEmpty():
-        rooted = large.join(roots.withColumnRenamed("node", "id"), "id", "left").withColumn("root", F.coalesce("root", "id"))
+        place = F.col("at").bitwiseAND(F.lit(0xFFFFFFFF))
+        start = F.greatest(place - BEFORE, F.lit(0))
+        before = F.substr("first", (8 * start + 1).cast("int"), (8 * (place - start)).cast("int"))
+        ranked = large.join(s.nodes.select("id", "first"), "id").withColumn("before", before).drop("first")
+        rooted = ranked.join(roots.withColumnRenamed("node", "id"), "id", "left").withColumn("root", F.coalesce("root", "id"))
         open_ = rooted.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi"), F.ceil(F.count("*") / BLOCK).cast("int").alias("m")).where("lo < hi").select("key", "m")
         cut = rooted.join(open_, "key").withColumn("sub", F.pmod(F.xxhash64("id"), F.col("m")).cast("int"))
         cut = cut.withColumn("with", F.explode(F.sequence(F.lit(0), F.col("m") - 1)))
         block = (F.least("sub", "with") * F.col("m") + F.greatest("sub", "with")).cast("long")
-        cut = cut.select("key", block.alias("block"), "id", "root", "c0", "c1", "at", (F.col("sub") > F.col("with")).cast("long").alias("side"))
+        cut = cut.select("key", block.alias("block"), "id", "root", "c0", "c1", "at", "before", (F.col("sub") > F.col("with")).cast("long").alias("side"))
         more = cut.repartition(s.n, "key", "block").sortWithinPartitions("key", "block").mapInArrow(_apart(similarity), "a long, b long")
         more = C.stored(more.distinct(), "pairs")
         if not more.isEmpty():
