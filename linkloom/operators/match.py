@@ -24,6 +24,12 @@ def with_keys(df: DataFrame, name: str) -> DataFrame:
     })
 
 
+def _sided(df: DataFrame) -> DataFrame:
+    """A join side that may be as long as a table of names: it is shuffled and merged, which spills.  Spark would judge it by its
+    share of the compressed files, and texts that grow in memory would be broadcast by way of the driver."""
+    return df.hint("merge")
+
+
 def _flag(df: DataFrame, keys: DataFrame, on: str, flag: str) -> DataFrame:
     """A boolean column: the key occurs on the other side."""
     k = keys.select(on).where(F.col(on) != "").distinct().withColumn(flag, F.lit(True))
@@ -76,9 +82,9 @@ def subset_pairs(small: DataFrame, big: DataFrame) -> DataFrame:
 
 def by_rarest(asked: DataFrame, posted: DataFrame) -> DataFrame:
     """asked: a, g; posted: b, g -> (a, b) that share the g of a that fewest b have.  Only ids and pieces are shuffled."""
-    known = posted.join(asked.select("g").distinct(), "g", "left_semi").groupBy("g").agg(F.count("*").alias("n"))
-    rare = asked.join(known, "g", "left").groupBy("a").agg(F.min(F.struct(F.coalesce("n", F.lit(0)).alias("n"), "g")).alias("x"))
-    return rare.where("x.n > 0").select("a", F.col("x.g").alias("g")).join(posted, "g").select("a", "b")
+    known = posted.join(_sided(asked.select("g").distinct()), "g", "left_semi").groupBy("g").agg(F.count("*").alias("n"))
+    rare = asked.join(_sided(known), "g", "left").groupBy("a").agg(F.min(F.struct(F.coalesce("n", F.lit(0)).alias("n"), "g")).alias("x"))
+    return rare.where("x.n > 0").select("a", F.col("x.g").alias("g")).join(_sided(posted), "g").select("a", "b")
 
 
 def contained(inner: DataFrame, outer: DataFrame, n: int = 4) -> DataFrame:
@@ -105,16 +111,17 @@ def channel_id(queries: DataFrame, channels: DataFrame, name: str = "name", cont
     """queries with `channel_id`: by exact name, else by other name, else by the first listed name that contains it or that it
     contains.  Empty names match nothing."""
     key = F.lower(F.trim(T.text(name)))
-    q = queries.withColumn("__k", key)
+    # rows without a name get a key of their own, so that they never meet in one task; no trimmed name begins with a blank
+    q = queries.withColumn("__k", F.when(key != "", key).otherwise(F.concat(F.lit(" "), F.monotonically_increasing_id())))
     exact = channels.select(F.lower(F.trim("name")).alias("__k"), "id", "_ord").where("__k <> ''").groupBy("__k").agg(F.max_by("id", "_ord").alias("id1"))
     alts = channels.select(F.explode(F.split(T.text("alt_names"), ";")).alias("a"), "id", "_ord").select(F.lower(F.trim("a")).alias("__k"), "id", "_ord")
     other = alts.where("__k <> ''").groupBy("__k").agg(F.max_by("id", "_ord").alias("id2"))
-    q = q.join(exact, "__k", "left").join(other, "__k", "left")
+    q = q.join(_sided(exact), "__k", "left").join(_sided(other), "__k", "left")
     if contains:
-        rest = q.where("id1 IS NULL AND id2 IS NULL AND __k <> ''").select(F.col("__k").alias("l")).distinct()
+        rest = q.where("id1 IS NULL AND id2 IS NULL AND __k NOT LIKE ' %'").select(F.col("__k").alias("l")).distinct()
         names = channels.select(F.lower(F.trim("name")).alias("r"), "id", "_ord").where("r <> ''")
-        near = contains_pairs(rest, names.select("r").distinct()).join(names, "r").groupBy("l").agg(F.min_by("id", "_ord").alias("id3"))
-        q = q.join(near.withColumnRenamed("l", "__k"), "__k", "left")
+        near = contains_pairs(rest, names.select("r").distinct()).join(_sided(names), "r").groupBy("l").agg(F.min_by("id", "_ord").alias("id3"))
+        q = q.join(_sided(near.withColumnRenamed("l", "__k")), "__k", "left")
     else:
         q = q.withColumn("id3", F.lit(None).cast("string"))
     return q.withColumn("channel_id", F.coalesce("id1", "id2", "id3")).select(*queries.columns, "channel_id")

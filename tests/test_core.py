@@ -226,3 +226,23 @@ def test_replace_language(spark, tmp_path):
 def test_coverage_markdown(spark):
     r = spark.createDataFrame([("g", 8, 1)], "g string, total long, found long").withColumn("missing", F.col("total") - F.col("found")).withColumn("pct", F.lit(12.5))
     assert sinks.coverage_markdown(r, "g").first()["value"] == "| g | 1 / 8 | 12.5% |"
+
+
+def test_channel_id_shuffles_names(spark, tmp_path):
+    """No side of names goes through the driver, and rows without a name don't meet in one task."""
+    ch = spark.createDataFrame([("a", "Mega", "big;", 0), ("b", " Mega News", None, 1), ("c", "", "", 2), ("d", "MEGA", "", 3)], "id string, name string, alt_names string, _ord long")
+    q = spark.createDataFrame([(0, "mega "), (1, "BIG"), (2, "Mega News HD"), (3, "news"), (4, None), (5, "  "), (6, "x"), *((i, "") for i in range(7, 400))], "k long, name string")
+    ch.write.parquet(str(tmp_path / "ch"))
+    q.write.parquet(str(tmp_path / "q"))
+    ch, q = spark.read.parquet(str(tmp_path / "ch")), spark.read.parquet(str(tmp_path / "q"))
+    before = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        got = M.channel_id(q, ch)
+        assert "Broadcast" not in got._jdf.queryExecution().executedPlan().toString()
+        rows = got.withColumn("task", F.spark_partition_id()).collect()
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", before)
+    assert {r["k"]: r["channel_id"] for r in rows if r["channel_id"]} == {0: "d", 1: "a", 2: "a", 3: "b"}
+    assert sorted(r["k"] for r in rows) == list(range(400))
+    assert len({r["task"] for r in rows if r["k"] >= 7}) > 1
