@@ -19,17 +19,17 @@ def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 def shared_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Lines that 10 documents or more share go from the texts; n_chars follows.  All documents stay."""
-    return line_dedup.drop_lines(docs, min_docs=10)
+    return common.sized(line_dedup.drop_lines(docs, min_docs=10), docs.count())
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each near-duplicate class stays, that of the least id."""
-    return simhash_dedup.keep_one(docs, words=5, similarity=0.8)
+    return common.sized(simhash_dedup.keep_one(docs, words=5, similarity=0.8), docs.count())
 
 
 def benchmark_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that contain a 10-word window of a benchmark item go."""
-    return decontaminate.clean_documents(docs, common.table(spark, sf_dir, "benchmark"), size=10)
+    return common.sized(decontaminate.clean_documents(docs, common.table(spark, sf_dir, "benchmark"), size=10), docs.count())
 
 
 def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

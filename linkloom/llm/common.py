@@ -88,6 +88,17 @@ def stored(df: DataFrame, label: str = "part") -> DataFrame:
     return out
 
 
+#: Fewer documents than these, or rows of a few numbers, are not worth a task and a file of their own.
+DOCS_A_TASK, ROWS_A_TASK = 2048, 20_000
+
+
+def sized(df: DataFrame, rows: int, a_task: int = DOCS_A_TASK) -> DataFrame:
+    """df in no more tasks than so many rows need, but two for each core: for small data in many partitions.  Each file and folder
+    costs requests to the store; for plain folders Hadoop starts a process for each, and a child of the JVM counts with all of
+    its memory until it has begun."""
+    return df.coalesce(max(2 * df.sparkSession.sparkContext.defaultParallelism, -(-rows // a_task)))
+
+
 def drop_stored(df: DataFrame | None) -> None:
     """Deletes what stored() wrote, once nothing will read it again."""
     path = getattr(df, "_linkloom_path", None)

@@ -60,7 +60,8 @@ def spots(docs: DataFrame, k: int, keep: tuple[str, ...] = ()) -> DataFrame:
 def hits(docs: DataFrame, items: DataFrame, size: int, broadcast_rows: int, id_col: str, text_col: str) -> tuple[DataFrame, DataFrame]:
     """(doc, th, s, n, win) of every occurrence of a window, and (item_id, win)."""
     every, wins = windows(items, size, id_col, text_col)
-    every, wins = C.stored(every, "items"), C.stored(wins, "windows")
+    every = C.stored(every, "items")
+    wins = C.stored(C.sized(wins, every.count(), C.ROWS_A_TASK), "windows")
     k = F.least(F.col("n"), F.lit(GRAM))
     grams = wins.select("win", "ws", "n", k.alias("k"), F.explode(F.sequence(F.lit(0), F.col("n") - k)).alias("off"))
     one = F.coalesce(*[F.when(F.col("k") == j, shingle(F.col("ws"), F.col("off"), j)) for j in range(1, GRAM + 1)])
@@ -77,11 +78,12 @@ def hits(docs: DataFrame, items: DataFrame, size: int, broadcast_rows: int, id_c
         counts = seen if counts is None else counts.unionByName(seen)
     if counts is None:
         return None, every
-    rarity = C.stored(counts, "rarity")
+    few = (lambda x: C.sized(x, rows, C.ROWS_A_TASK)) if small else (lambda x: x)
+    rarity = C.stored(few(counts), "rarity")
     first = Window.partitionBy("win").orderBy(F.col("count").asc(), "g", "off")
     # a window with a shingle that no document has can't occur: the inner join drops that shingle, so it is kept at 0 here
     ranked = grams.join(rarity, "g", "left").fillna(0, ["count"]).withColumn("r", F.row_number().over(first)).where("r = 1 AND count > 0")
-    prefix = C.stored(ranked.select("g", "win", "n", "k", "off"), "prefix")
+    prefix = C.stored(few(ranked.select("g", "win", "n", "k", "off")), "prefix")
     out = None
     for j in used:
         own = prefix.where(F.col("k") == j).select("g", "win", "n", "off")

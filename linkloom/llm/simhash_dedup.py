@@ -307,10 +307,9 @@ def prefix_size(n: int, similarity: float) -> int:
     return n - math.ceil(similarity * n - 1e-9) + 1 if n else 0
 
 
-def common_shingles(d: DataFrame, words: int) -> np.ndarray:
+def common_shingles(d: DataFrame, total: int, words: int) -> np.ndarray:
     """Hashes of shingles that three or more of the sampled documents hold.  They come last in the order of shingles, so that a
     passage of many documents makes no candidates.  It only affects the work, never results."""
-    total = d.count()
 
     def run(batches):
         cache = WordHashes()
@@ -533,7 +532,8 @@ class _Sets:
 
     def __init__(self, d: DataFrame, words: int, similarity: float):
         self.d, self.words, self.similarity, self.n = d, words, similarity, C.partitions(d.sparkSession)
-        hot = common_shingles(d, words)
+        self.docs = d.count()
+        hot = common_shingles(d, self.docs, words)
 
         def prints(batches):
             cache = WordHashes()
@@ -549,7 +549,11 @@ class _Sets:
                 yield pa.RecordBatch.from_arrays([b.column("doc"), b.column("th"), pa.array(ids.view(np.int64)), *map(pa.array, at), pa.array(first, pa.binary())], ["doc", "th", "id", "n", "c0", "c1", "first"])
 
         self.keys = C.stored(d.mapInArrow(prints, "doc long, th long, id long, n long, c0 long, c1 long, first binary"), "prints")
-        self.nodes = C.stored(self.keys.groupBy("id").agg(F.min(F.struct("doc", "th", "n", "c0", "c1", "first")).alias("x")).select("id", "x.*"), "nodes")
+        self.nodes = self.stored(self.keys.groupBy("id").agg(F.min(F.struct("doc", "th", "n", "c0", "c1", "first")).alias("x")).select("id", "x.*"), "nodes")
+
+    def stored(self, df: DataFrame, label: str) -> DataFrame:
+        """In as many files as the documents need."""
+        return C.stored(C.sized(df, self.docs), label)
 
     def postings(self) -> DataFrame:
         """key (a shingle of the prefix), o, c0, c1, at (size and place), in order."""
@@ -571,32 +575,32 @@ class _Sets:
 
     def check(self, asked: DataFrame) -> DataFrame:
         """asked: g, a, b -> links (a, b).  Each text goes once to each group that asks for it."""
-        need = C.stored(asked.select("g", F.col("a").alias("id")).unionByName(asked.select("g", F.col("b").alias("id"))).distinct(), "need")
+        need = self.stored(asked.select("g", F.col("a").alias("id")).unionByName(asked.select("g", F.col("b").alias("id"))).distinct(), "need")
         own = need.join(self.nodes.select("id", "doc", "th"), "id")
         few = need.count() <= 100_000  # rows of five numbers
         text = self.d.join(F.broadcast(own) if few else own, ["doc", "th"])
         members = text.select("g", F.lit(0).alias("kind"), F.col("id").alias("a"), F.lit(0).cast("long").alias("b"), "text")
         both = members.unionByName(asked.select("g", F.lit(1).alias("kind"), "a", "b", F.lit(None).cast("string").alias("text")))
         dealt = both.repartition(self.n, "g").sortWithinPartitions("g", "kind", "a", "b")
-        return C.stored(dealt.mapInArrow(_verified(self.similarity, self.words), "a long, b long"), "links")
+        return self.stored(dealt.mapInArrow(_verified(self.similarity, self.words), "a long, b long"), "links")
 
     def stars(self, pairs: DataFrame) -> DataFrame:
         """Groups of bounded size: pairs of one a, cut by b.  Pairs and groups are read several times."""
-        pairs = C.stored(pairs, "wide")
+        pairs = self.stored(pairs, "wide")
         load = pairs.join(self.nodes.select(F.col("id").alias("b"), "n"), "b").groupBy("a").agg(F.ceil(F.sum("n") / GROUP).alias("cuts"))
-        return C.stored(pairs.join(load, "a").select(F.xxhash64("a", F.pmod(F.xxhash64("b"), F.col("cuts"))).alias("g"), "a", "b"), "stars")
+        return self.stored(pairs.join(load, "a").select(F.xxhash64("a", F.pmod(F.xxhash64("b"), F.col("cuts"))).alias("g"), "a", "b"), "stars")
 
     def links(self, pairs: DataFrame) -> DataFrame:
         """The links (a, b) among candidate pairs, a spanning forest of them.  A task verifies all pairs of one component of
         candidates; a component of over GROUP shingles goes by stars, first with one pair a document, then with those of
         documents that are still apart."""
         near = components(pairs)
-        asked = C.stored(pairs.join(near.withColumnRenamed("node", "a"), "a"), "asked")  # read several times
+        asked = self.stored(pairs.join(near.withColumnRenamed("node", "a"), "a"), "asked")  # read several times
         load = near.join(self.nodes.select(F.col("id").alias("node"), "n"), "node").groupBy("root").agg(F.sum("n").alias("n"))
         heavy = C.stored(load.where(F.col("n") > GROUP).select("root"), "heavy")
         if heavy.isEmpty():
             return self.check(asked.select(F.col("root").alias("g"), "a", "b"))
-        wide = C.stored(asked.join(heavy, "root", "left_semi").select("a", "b"), "wide")
+        wide = self.stored(asked.join(heavy, "root", "left_semi").select("a", "b"), "wide")
         some = wide.groupBy("b").agg(F.min("a").alias("a")).select("a", "b")
         plain = asked.join(heavy, "root", "left_anti").select(F.col("root").alias("g"), "a", "b")
         out = self.check(plain.unionByName(self.stars(some)))
@@ -621,11 +625,11 @@ def similar_classes(docs: DataFrame, words: int = 5, similarity: float = 0.8, id
     """
     s = _Sets(C.keyed(docs, id_col, text_col).select("doc", "th", "text"), words, similarity)
     by_print = linked(s.nodes.where(F.col("n") >= FEW_SHINGLES).select("id", F.col("c0").alias("print")))
-    found = C.stored(s.postings().mapInArrow(_candidates(similarity), "kind int, a long, b long, key long, c0 long, c1 long, at long"), "candidates")
+    found = s.stored(s.postings().mapInArrow(_candidates(similarity), "kind int, a long, b long, key long, c0 long, c1 long, at long"), "candidates")
     some = Window.partitionBy("b").orderBy(F.xxhash64("a"), "a")
     stars = found.where("kind = 2").select("a", "b").distinct().withColumn("r", F.row_number().over(some)).where(F.col("r") <= CENTRES)
     pairs = found.where("kind = 0").select("a", "b").unionByName(by_print).unionByName(stars.select("a", "b"))
-    edges = s.links(C.stored(pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "pairs"))
+    edges = s.links(s.stored(pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "pairs"))
     roots = components(edges)
     large = found.where("kind = 1").select(F.col("a").alias("id"), "key", "c0", "c1", "at")
     if not large.isEmpty():
@@ -640,7 +644,7 @@ def similar_classes(docs: DataFrame, words: int = 5, similarity: float = 0.8, id
         block = (F.least("sub", "with") * F.col("m") + F.greatest("sub", "with")).cast("long")
         cut = cut.select("key", block.alias("block"), "id", "root", "c0", "c1", "at", "before", (F.col("sub") > F.col("with")).cast("long").alias("side"))
         more = cut.repartition(s.n, "key", "block").sortWithinPartitions("key", "block").mapInArrow(_apart(similarity), "a long, b long")
-        more = C.stored(more.distinct(), "pairs")
+        more = s.stored(more.distinct(), "pairs")
         if not more.isEmpty():
             roots = components(edges.unionByName(s.links(more)))
     of = s.nodes.select("id").join(roots.withColumnRenamed("node", "id"), "id", "left").select("id", F.coalesce("root", "id").alias("root"))

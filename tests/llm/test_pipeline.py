@@ -1,6 +1,7 @@
 """The pipeline stage by stage: columns, decisions, and near-duplicates against exact Jaccard similarity."""
 
 from collections import defaultdict
+from pathlib import Path
 
 import pytest
 from conftest import DATA
@@ -77,3 +78,24 @@ def test_mix(stages):
 def test_run(spark, stages):
     got = sorted(map(repr, P.run(spark, str(DATA)).collect()))
     assert got == sorted(map(repr, stages["mix_sources"].collect()))
+
+
+def test_small_tables_go_in_few_files(spark):
+    """A few documents in many partitions: no stage writes a file for each partition."""
+    known = {k: spark.conf.get(k, None) for k in ("spark.sql.shuffle.partitions", "spark.sql.adaptive.coalescePartitions.enabled")}
+    docs = common.table(spark, str(DATA), "documents").limit(200).repartition(3)
+    docs = common.stored(docs.unionByName(docs.withColumn("doc_id", docs["doc_id"] + 10_000)), "documents")
+    folder = Path(common.shared_dir(spark).removeprefix("file:"))
+    old = {*folder.iterdir()}
+    spark.conf.set("spark.sql.shuffle.partitions", "64")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        for name, f in P.STAGES[2:4]:
+            common.stored(f(spark, docs, str(DATA)), name)
+    finally:
+        for k, v in known.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+    files = {p.name.split("-")[1]: len([*p.glob("*.parquet")]) for p in {*folder.iterdir()} - old}
+    most = 2 * spark.sparkContext.defaultParallelism
+    assert {"nodes", "candidates", "need", "links", "near_dedup", "windows", "rarity", "prefix", "decontaminate"} <= set(files)
+    assert {k: n for k, n in files.items() if n > most} == {}
