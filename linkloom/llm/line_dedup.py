@@ -124,7 +124,7 @@ def _batch(rows: list[tuple], names: list[str]) -> pa.RecordBatch:
 def dropped_lines(docs: DataFrame, min_docs: int) -> DataFrame:
     """doc, th, at: positions of lines whose key at least `min_docs` documents have.  docs: from keyed()."""
     run, schema = _stream(min_docs)
-    seen = C.stored(line_records(docs).mapInArrow(run, schema), "lines")
+    seen = C.stored(C.sized(line_records(docs).mapInArrow(run, schema), docs.count()), "lines")
     by_range = Window.partitionBy("k1", "k2").orderBy("pid")
     again = (F.lag("hi").over(by_range) == F.col("lo")).cast("int")  # a document that both sides of a border count
     total = seen.where("kind = 2").withColumn("n", F.col("n") - F.coalesce(again, F.lit(0))).groupBy("k1", "k2").agg(F.sum("n").alias("n"))
