@@ -99,6 +99,12 @@ def sized(df: DataFrame, rows: int, a_task: int = DOCS_A_TASK) -> DataFrame:
     return df.coalesce(max(2 * df.sparkSession.sparkContext.defaultParallelism, -(-rows // a_task)))
 
 
+def packed(df: DataFrame, rows: int, a_task: int = DOCS_A_TASK) -> DataFrame:
+    """df, of small rows, shuffled once more by no key into partitions of the advised size, as many as sized() allows: for little
+    that comes out of many tasks, which keep their number.  All rows stay."""
+    return sized(df.hint("rebalance"), rows, a_task)
+
+
 def drop_stored(df: DataFrame | None) -> None:
     """Deletes what stored() wrote, once nothing will read it again."""
     path = getattr(df, "_linkloom_path", None)

@@ -100,7 +100,7 @@ def hits(docs: DataFrame, items: DataFrame, size: int, broadcast_rows: int, id_c
             met = met.where(F.array_join(F.slice("near", F.col("s0") + 1, F.col("n")), " ") == F.col("win")).withColumn("s", F.col("at") - F.col("off"))
         met = met.select("doc", "th", "s", "n", "win")
         out = met if out is None else out.unionByName(met)
-    return C.stored(out, "hits"), every
+    return C.stored(C.packed(out, docs.count()), "hits"), every
 
 
 def decontaminate(docs: DataFrame, items: DataFrame, size: int = 10, broadcast_rows: int = 300_000, id_col: str = "doc_id", text_col: str = "text", item_id: str = "item_id", item_text: str = "text") -> DataFrame:
@@ -133,7 +133,8 @@ def clean_documents(docs: DataFrame, items: DataFrame, size: int = 10) -> DataFr
 
 def op1_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Contract: 10 words."""
-    out = decontaminate(C.table(spark, sf_dir, "documents"), C.table(spark, sf_dir, "benchmark"))
+    docs = C.table(spark, sf_dir, "documents")
+    out = C.sized(decontaminate(docs, C.table(spark, sf_dir, "benchmark")), docs.count(), C.ROWS_A_TASK)
     return out.select("doc_id", "n_words", "n_hit", F.size("item_ids").cast("long").alias("n_items"), F.sha2(F.array_join("item_ids", ",").cast("binary"), 256).alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"))
 
 

@@ -5,6 +5,7 @@ from pathlib import Path
 
 import pytest
 from conftest import DATA
+from pyspark.sql import functions as F
 
 import corpus_pipeline as P
 from linkloom.llm import common, decontaminate, line_dedup
@@ -99,3 +100,31 @@ def test_small_tables_go_in_few_files(spark):
     most = 2 * spark.sparkContext.defaultParallelism
     assert {"lines", "line_dedup", "nodes", "candidates", "need", "links", "near_dedup", "windows", "rarity", "prefix", "decontaminate"} <= set(files)
     assert {k: n for k, n in files.items() if n > most} == {}
+
+
+def files_of(spark, label, run):
+    """run()'s result in 64 partitions that Spark doesn't merge, and how many files each new table of the label has in the shared folder."""
+    folder = Path(common.shared_dir(spark).removeprefix("file:"))
+    conf = {"spark.sql.shuffle.partitions": "64", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    known, old = {k: spark.conf.get(k, None) for k in conf}, {*folder.iterdir()}
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        out = run()
+    finally:
+        for k, v in known.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+    return out, [len([*p.glob("*.parquet")]) for p in {*folder.iterdir()} - old if p.name.split("-")[1] == label]
+
+
+def test_hits_go_in_few_files(spark):
+    """Documents in many partitions: op1's hits and its result are packed, and none is lost."""
+    docs, items = (common.table(spark, str(DATA), t) for t in ("documents", "benchmark"))
+    docs = docs.unionByName(items.select(*[(F.col("text") if c == "text" else F.lit(None).cast(k)).alias(c) for c, k in docs.dtypes]))
+    run = lambda d: sorted(map(repr, decontaminate.decontaminate(d, items).collect()))
+    got, files = files_of(spark, "hits", lambda: run(docs.repartition(40)))
+    most = 2 * spark.sparkContext.defaultParallelism
+    assert len(files) == 1 and files[0] <= most
+    assert got == run(docs.coalesce(1)) and sum("n_hit=0" not in r for r in got) >= items.count()
+    _, files = files_of(spark, "result", lambda: common.stored(decontaminate.op1_decontaminate(spark, str(DATA)), "result"))
+    assert len(files) == 1 and files[0] <= most
