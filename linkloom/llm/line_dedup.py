@@ -124,7 +124,7 @@ def _batch(rows: list[tuple], names: list[str]) -> pa.RecordBatch:
 def dropped_lines(docs: DataFrame, min_docs: int) -> DataFrame:
     """doc, th, at: positions of lines whose key at least `min_docs` documents have.  docs: from keyed()."""
     run, schema = _stream(min_docs)
-    seen = C.stored(C.sized(line_records(docs).mapInArrow(run, schema), docs.count()), "lines")
+    seen = C.stored(C.packed(line_records(docs).mapInArrow(run, schema), docs.count()), "lines")
     by_range = Window.partitionBy("k1", "k2").orderBy("pid")
     again = (F.lag("hi").over(by_range) == F.col("lo")).cast("int")  # a document that both sides of a border count
     total = seen.where("kind = 2").withColumn("n", F.col("n") - F.coalesce(again, F.lit(0))).groupBy("k1", "k2").agg(F.sum("n").alias("n"))
@@ -208,8 +208,10 @@ def drop_lines(docs: DataFrame, min_docs: int = 10, text_col: str = "text", char
 
 def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Contract: keys of one code point or more, found in 10 documents or more, lose all their lines."""
-    out = dedup_lines(C.table(spark, sf_dir, "documents"), min_docs=10)
-    return out.select("doc_id", "n_lines", "n_dropped", F.sha2(F.col("text").cast("binary"), 256).alias("kept_sha256"))
+    docs = C.table(spark, sf_dir, "documents")
+    out = dedup_lines(docs, min_docs=10)
+    out = out.select("doc_id", "n_lines", "n_dropped", F.sha2(F.col("text").cast("binary"), 256).alias("kept_sha256"))
+    return C.packed(out, docs.count(), C.ROWS_A_TASK)
 
 
 def brute(rows: list[tuple], min_docs: int = 10) -> dict:

@@ -102,10 +102,10 @@ def test_small_tables_go_in_few_files(spark):
     assert {k: n for k, n in files.items() if n > most} == {}
 
 
-def files_of(spark, label, run):
-    """run()'s result in 64 partitions that Spark doesn't merge, and how many files each new table of the label has in the shared folder."""
+def files_of(spark, label, run, merge="false"):
+    """run()'s result in 64 partitions, which Spark may merge or not, and how many files each new table of the label has in the shared folder."""
     folder = Path(common.shared_dir(spark).removeprefix("file:"))
-    conf = {"spark.sql.shuffle.partitions": "64", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    conf = {"spark.sql.shuffle.partitions": "64", "spark.sql.adaptive.coalescePartitions.enabled": merge}
     known, old = {k: spark.conf.get(k, None) for k in conf}, {*folder.iterdir()}
     try:
         for k, v in conf.items():
@@ -128,3 +128,13 @@ def test_hits_go_in_few_files(spark):
     assert got == run(docs.coalesce(1)) and sum("n_hit=0" not in r for r in got) >= items.count()
     _, files = files_of(spark, "result", lambda: common.stored(decontaminate.op1_decontaminate(spark, str(DATA)), "result"))
     assert len(files) == 1 and files[0] <= most
+
+
+def test_lines_go_in_few_files(spark):
+    """Ranges of lines in many partitions: op2's table of lines and its result are packed, and no row is lost."""
+    run = lambda: common.stored(line_dedup.op2_line_dedup(spark, str(DATA)), "result")
+    got, files = files_of(spark, "result", run)
+    assert len(files) == 1 and files[0] <= 2 * spark.sparkContext.defaultParallelism
+    merged, files = files_of(spark, "lines", run, merge="true")
+    assert files == [1]
+    assert len({repr(sorted(map(repr, x.collect()))) for x in (got, merged, run())}) == 1
