@@ -5,6 +5,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -114,6 +115,22 @@ def drop_stored(df: DataFrame | None) -> None:
         p.getFileSystem(conf).delete(p, True)
 
 
+#: Spark's switch for the files of a query's shuffles to go as the query ends.
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+@contextmanager
+def shuffles_freed(spark: SparkSession) -> Iterator[None]:
+    """Inside, shuffle files go with the query that wrote them; else they stay until the driver happens to collect its garbage.  A
+    query that is run again shuffles again."""
+    known = spark.conf.get(CLEANUP, None)
+    spark.conf.set(CLEANUP, "true")
+    try:
+        yield
+    finally:
+        spark.conf.unset(CLEANUP) if known is None else spark.conf.set(CLEANUP, known)
+
+
 def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

@@ -8,9 +8,10 @@ by its count over all documents.  Two scans of the texts:
 2. the join on each window's rarest shingle, with a positional bound (the shingle's place in the window must fit before
    and after it) and an exact check of the words.
 
-The documents are never shuffled: the benchmark's shingles are broadcast where their measured number stays under
+The search never shuffles the documents: the benchmark's shingles are broadcast where their measured number stays under
 `broadcast_rows`; beyond that the shingles of the documents are joined by key, with the words around each.  Covered words
-are counted per document from the sorted starts of its windows.
+are counted per document from the sorted starts of its windows.  `clean_documents` broadcasts the keys of the documents that
+go, if they are no more than `BROADCAST_DOCS`; else it shuffles the texts too.
 
 Defined results: null text has no words; an item without words has no window; items that are equal count as several items;
 null item ids count as an item of no name (not listed).  A document given twice (same id and text) gets the same row twice.
@@ -30,6 +31,8 @@ UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 GRAM = 3
 #: All windows together must have at most so many characters to be broadcast.
 BROADCAST_CHARS = 64_000_000
+#: So many documents with a window, rows of two numbers, are broadcast to the others.
+BROADCAST_DOCS = 500_000
 
 
 def words(text: Column) -> Column:
@@ -127,7 +130,9 @@ def clean_documents(docs: DataFrame, items: DataFrame, size: int = 10) -> DataFr
     found, _ = hits(C.keyed(docs), items, size, 300_000, "item_id", "text")
     wide, back = C.with_key(docs)
     if found is not None:
-        wide = wide.join(found.select("doc", "th").distinct(), ["doc", "th"], "left_anti")
+        hit = found.select("doc", "th").distinct()
+        # Spark judges them by the files of hits, which hold the windows too, and would shuffle all texts
+        wide = wide.join(F.broadcast(hit) if hit.count() <= BROADCAST_DOCS else hit, ["doc", "th"], "left_anti")
     return back(wide)
 
 

@@ -548,8 +548,10 @@ class _Sets:
                     first.append(np.concatenate([s[~late], s[late]])[: prefix_size(len(s), similarity)].tobytes())
                 yield pa.RecordBatch.from_arrays([b.column("doc"), b.column("th"), pa.array(ids.view(np.int64)), *map(pa.array, at), pa.array(first, pa.binary())], ["doc", "th", "id", "n", "c0", "c1", "first"])
 
-        self.keys = C.stored(d.mapInArrow(prints, "doc long, th long, id long, n long, c0 long, c1 long, first binary"), "prints")
-        self.nodes = self.stored(self.keys.groupBy("id").agg(F.min(F.struct("doc", "th", "n", "c0", "c1", "first")).alias("x")).select("id", "x.*"), "nodes")
+        every = C.stored(d.mapInArrow(prints, "doc long, th long, id long, n long, c0 long, c1 long, first binary"), "prints")
+        self.nodes = self.stored(every.groupBy("id").agg(F.min(F.struct("doc", "th", "n", "c0", "c1", "first")).alias("x")).select("id", "x.*"), "nodes")
+        self.keys = self.stored(every.select("doc", "th", "id"), "keys")
+        C.drop_stored(every)  # the prefixes are in nodes
 
     def stored(self, df: DataFrame, label: str) -> DataFrame:
         """In as many files as the documents need."""
@@ -623,9 +625,13 @@ def similar_classes(docs: DataFrame, words: int = 5, similarity: float = 0.8, id
     the whole sets before components are taken.  Large buckets take two rounds, so that a large class needs no comparison of
     all its pairs: first those with one member, then those of members that are still apart, in blocks.
     """
-    s = _Sets(C.keyed(docs, id_col, text_col).select("doc", "th", "text"), words, similarity)
+    with C.shuffles_freed(docs.sparkSession):  # else those of several steps, each up to the size of the texts, are on disk at once
+        return _classes(_Sets(C.keyed(docs, id_col, text_col).select("doc", "th", "text"), words, similarity))
+
+
+def _classes(s: _Sets) -> tuple[DataFrame, DataFrame]:
     by_print = linked(s.nodes.where(F.col("n") >= FEW_SHINGLES).select("id", F.col("c0").alias("print")))
-    found = s.stored(s.postings().mapInArrow(_candidates(similarity), "kind int, a long, b long, key long, c0 long, c1 long, at long"), "candidates")
+    found = s.stored(s.postings().mapInArrow(_candidates(s.similarity), "kind int, a long, b long, key long, c0 long, c1 long, at long"), "candidates")
     some = Window.partitionBy("b").orderBy(F.xxhash64("a"), "a")
     stars = found.where("kind = 2").select("a", "b").distinct().withColumn("r", F.row_number().over(some)).where(F.col("r") <= CENTRES)
     pairs = found.where("kind = 0").select("a", "b").unionByName(by_print).unionByName(stars.select("a", "b"))
@@ -643,7 +649,7 @@ def similar_classes(docs: DataFrame, words: int = 5, similarity: float = 0.8, id
         cut = cut.withColumn("with", F.explode(F.sequence(F.lit(0), F.col("m") - 1)))
         block = (F.least("sub", "with") * F.col("m") + F.greatest("sub", "with")).cast("long")
         cut = cut.select("key", block.alias("block"), "id", "root", "c0", "c1", "at", "before", (F.col("sub") > F.col("with")).cast("long").alias("side"))
-        more = cut.repartition(s.n, "key", "block").sortWithinPartitions("key", "block").mapInArrow(_apart(similarity), "a long, b long")
+        more = cut.repartition(s.n, "key", "block").sortWithinPartitions("key", "block").mapInArrow(_apart(s.similarity), "a long, b long")
         more = s.stored(more.distinct(), "pairs")
         if not more.isEmpty():
             roots = components(edges.unionByName(s.links(more)))

@@ -1,5 +1,6 @@
 """The pipeline stage by stage: columns, decisions, and near-duplicates against exact Jaccard similarity."""
 
+import time
 from collections import defaultdict
 from pathlib import Path
 
@@ -8,7 +9,7 @@ from conftest import DATA
 from pyspark.sql import functions as F
 
 import corpus_pipeline as P
-from linkloom.llm import common, decontaminate, line_dedup
+from linkloom.llm import common, decontaminate, line_dedup, simhash_dedup
 
 
 @pytest.fixture(scope="module")
@@ -138,3 +139,44 @@ def test_lines_go_in_few_files(spark):
     merged, files = files_of(spark, "lines", run, merge="true")
     assert files == [1]
     assert len({repr(sorted(map(repr, x.collect()))) for x in (got, merged, run())}) == 1
+
+
+def test_near_dedup_frees_what_it_no_longer_reads(spark, monkeypatch):
+    """Shuffle files go with the query that wrote them, and the first table of prefixes with the second."""
+    folder, disk = Path(common.shared_dir(spark).removeprefix("file:")), spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+    shuffled = lambda: {x for x in disk.getAllFiles().mkString("\n").split("\n") if "/shuffle_" in x}
+    old, left, stored, switch = {*folder.iterdir()}, {}, common.stored, "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+    def watched(df, label="part"):
+        before, out = shuffled(), stored(df, label)
+        for _ in range(50):  # they are removed a moment later
+            if label not in ("nodes", "candidates") or not shuffled() - before:
+                break
+            time.sleep(0.1)
+        left[label] = shuffled() - before
+        return out
+
+    monkeypatch.setattr(common, "stored", watched)
+    known, docs = spark.conf.get(switch, None), common.table(spark, str(DATA), "documents")
+    keys, of = simhash_dedup.similar_classes(docs)
+    assert not left["nodes"] and not left["candidates"] and spark.conf.get(switch, None) == known
+    tables = {p.name.split("-")[1] for p in {*folder.iterdir()} - old}
+    assert {"keys", "nodes"} <= tables and "prints" not in tables
+    assert keys.join(of, "id").count() == docs.count()
+
+
+def test_clean_documents_sends_keys_and_not_texts(spark, monkeypatch):
+    """Whatever Spark makes of the files of hits, the texts aren't shuffled for a few documents; for more they are, with one result."""
+    docs, items = (common.table(spark, str(DATA), t) for t in ("documents", "benchmark"))
+    known = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        out = decontaminate.clean_documents(docs, items)
+        assert "SortMergeJoin" not in out._jdf.queryExecution().executedPlan().toString()
+        got = sorted(map(repr, out.collect()))
+        monkeypatch.setattr(decontaminate, "BROADCAST_DOCS", 0)
+        more = decontaminate.clean_documents(docs, items)
+        assert "SortMergeJoin" in more._jdf.queryExecution().executedPlan().toString()
+        assert got == sorted(map(repr, more.collect())) and len(got) < docs.count()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", known)
